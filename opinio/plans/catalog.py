@@ -21,7 +21,7 @@ from opinio.operators import vocabulary as vc
 from opinio.operators.cleaning import dropped_rows, preprocess
 from opinio.options import CleanOptions, FeatureOptions, SplitOptions
 from opinio.plans import sqltext as sq
-from opinio.session import scratch_path
+from opinio.session import scratch_path, spread
 from opinio.sources import reviews as rv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,7 +60,7 @@ REVIEWS_SQL = ("reviews AS (SELECT d.doc_id, d.text AS review, d.lang, d.source,
 
 
 def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review")))
     return preprocess(docs, "review", CleanOptions()).select("doc_id", "review_processed")
 
 

@@ -22,7 +22,7 @@ from opinio.plans import train as tr
 from opinio.plans.catalog import query, reviews, table
 from opinio.plans.runs import save_model
 from opinio.plans.score import score
-from opinio.session import scratch_path
+from opinio.session import scratch_path, spread
 
 DEFAULTS = TrainOptions()
 _MEMO: dict = {}
@@ -31,7 +31,7 @@ _MEMO: dict = {}
 def _prepared(spark: SparkSession, sf_dir: str, options: TrainOptions = DEFAULTS):
     key = (id(spark), sf_dir, options)
     if key not in _MEMO:
-        _MEMO[key] = tr.prepare(spark, reviews(spark, sf_dir), options)
+        _MEMO[key] = tr.prepare(spark, spread(reviews(spark, sf_dir)), options)
     return _MEMO[key]
 
 
@@ -154,7 +154,7 @@ def _scoring_model(spark, sf_dir) -> PipelineModel:
 @query("score_reviews")
 def q_score_reviews(spark, sf_dir):
     """M11 + M12 over every document (labelled or not); empty-after-cleaning rows kept (D3)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review"), "lang")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review"), "lang"))
     out = score(_scoring_model(spark, sf_dir), docs)
     return out.drop("review", "processed_at")
 

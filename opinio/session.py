@@ -60,3 +60,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root for a written intermediate table."""
     return f"{checkpoint_root(spark)}/opinio-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a scan that yields fewer partitions than the cluster's default parallelism
+    (e.g. one large file with a single row group), so per-row text work uses every core.
+    Inputs that already split into enough partitions — any large dataset — pass through unchanged,
+    so at scale this adds no shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
