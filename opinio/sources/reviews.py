@@ -116,7 +116,7 @@ def read_label_directories(spark: SparkSession, root: str, subset: str = "train"
         directory = f"{root.rstrip('/')}/{subset}/{name}"
         if not path_exists(spark, directory):
             continue
-        part = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(directory)
+        part = (spark.read.option("pathGlobFilter", "*.txt").text(directory, wholetext=True)
                 .select(F.col("value").alias("review"), F.lit(label).alias("sentiment"),
                         F.col("_metadata.file_path").alias("source_path")))
         parts.append(part)
