@@ -497,3 +497,51 @@ def q_read_reviews_csv(spark, sf_dir):
     (reviews(spark, sf_dir).select("doc_id", F.col("review").alias("text"), F.col("sentiment").cast("string").alias("label"))
      .write.mode("overwrite").options(**rv.CSV_WRITE_OPTIONS).csv(path))
     return rv.read_reviews_csv(spark, path).select("doc_id", "review", "sentiment")
+
+
+# --- T8 / T9 / J4: dictionary lemmas and stems ------------------------------------------------
+
+_TOKS_SQL = ("toks AS (SELECT doc_id, unnest(string_split(review_processed, ' ')) AS token, "
+             "generate_subscripts(string_split(review_processed, ' '), 1) AS pos FROM cleaned), "
+             "voc AS (SELECT DISTINCT token FROM toks)")
+
+
+def _cleaned_tokens(spark, sf_dir):
+    return cleaned_documents(spark, sf_dir).select("doc_id", F.split("review_processed", " ").alias("tokens"))
+
+
+@query("lemmatize_dict",
+       f"WITH {CLEANED_SQL}, {_TOKS_SQL}, "
+       "dict AS (SELECT p.token, v.token AS replacement FROM voc p JOIN voc v "
+       "ON v.token = substring(p.token, 1, length(p.token) - 1) "
+       "WHERE length(p.token) >= 4 AND p.token LIKE '%s' AND p.token NOT LIKE '%ss') "
+       "SELECT doc_id, string_agg(coalesce(d.replacement, t.token), ' ' ORDER BY pos) AS lemmatized "
+       "FROM toks t LEFT JOIN dict d USING (token) GROUP BY doc_id")
+def q_lemmatize_dict(spark, sf_dir):
+    """T8 + J4: tokens replaced through a lemma table by join; the table is derived from the corpus
+    (plural -> singular when both forms occur)."""
+    from opinio.operators.lexicon import apply_dictionary, plural_dictionary, vocabulary
+
+    toks = _cleaned_tokens(spark, sf_dir)
+    d = plural_dictionary(vocabulary(toks, "tokens"))
+    out = apply_dictionary(toks, "doc_id", "tokens", d, "lemmas")
+    return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmatized"))
+
+
+@query("stem_vocabulary")
+def q_stem_vocabulary(spark, sf_dir):
+    """Porter stems of the distinct cleaned vocabulary (a pandas UDF over distinct tokens)."""
+    from opinio.operators.lexicon import stem_dictionary, vocabulary
+
+    d = stem_dictionary(vocabulary(_cleaned_tokens(spark, sf_dir), "tokens"))
+    return d.select("token", F.col("replacement").alias("stem"))
+
+
+@query("stem_tokens")
+def q_stem_tokens(spark, sf_dir):
+    """T9 applied: every cleaned document with its tokens stemmed through the stem table (join)."""
+    from opinio.operators.lexicon import apply_dictionary, stem_dictionary, vocabulary
+
+    toks = _cleaned_tokens(spark, sf_dir)
+    out = apply_dictionary(toks, "doc_id", "tokens", stem_dictionary(vocabulary(toks, "tokens")), "stems")
+    return out.select("doc_id", F.array_join("stems", " ").alias("stemmed"))

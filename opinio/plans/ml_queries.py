@@ -177,3 +177,17 @@ def q_model_roundtrip(spark, sf_dir):
     b = score(loaded, docs).select("doc_id", F.col("prob_positive").alias("p_loaded"))
     return a.join(b, "doc_id").select(
         "doc_id", (F.coalesce(F.abs(F.col("p_live") - F.col("p_loaded")), F.lit(0.0)) < 1e-12).alias("same"))
+
+
+@query("score_file")
+def q_score_file(spark, sf_dir):
+    """M12 + S4 + S8: documents exported as JSON Lines, scored from the file, written as CSV
+    (header, quoted multi-line texts) and read back."""
+    from opinio.plans.score import score_file
+    from opinio.sources.reviews import read_csv
+
+    src = scratch_path(spark, "score-in") + ".json"
+    (spread(table(spark, sf_dir, "documents")).select("doc_id", F.col("text").alias("review"))
+     .write.mode("overwrite").json(src))
+    out = score_file(spark, _scoring_model(spark, sf_dir), src, scratch_path(spark, "score-out"), "review", "csv")
+    return read_csv(spark, out).select("doc_id", "prediction", "sentiment", "status")
