@@ -31,6 +31,7 @@ from opinio.operators.sampling import assign_folds, sample_n, stratified_split
 from opinio.options import TrainOptions
 from opinio.plans.features import fit_feature_pipeline
 from opinio.plans.runs import log_run
+from opinio.session import checkpoint_root
 
 MAX_RF_DEPTH = 30  # Spark's limit stands in for "no limit"
 # The reference estimators' default stopping tolerances.
@@ -161,12 +162,15 @@ def prepare(spark: SparkSession, reviews: DataFrame, options: TrainOptions, id_c
             label_col: str = "sentiment", text_col: str = "review"):
     """M13 front half: sample -> split (persisted) -> features fitted on train only -> features tables.
 
-    The split table is computed once and persisted, so the label of a row cannot move between
+    The split table is computed once and checkpointed, so the label of a row cannot move between
     jobs; features tables are repartitioned to ``ceil(rows / rows_per_partition)`` and persisted."""
     df = sample_n(reviews, options.dataset_size, id_col, options.split.seed) if options.dataset_size else reviews
     splits = stratified_split(df, label_col, id_col, options.split).withColumn(
         "label", F.col(label_col).cast("double"))
-    splits = splits.persist(StorageLevel.MEMORY_AND_DISK)
+    # Reliable checkpoint in the shared folder named by spark.checkpoint.dir: membership is then
+    # durable and later jobs (and lost executors) restart from it, not from the raw scan.
+    checkpoint_root(spark)
+    splits = splits.checkpoint(eager=True)
     counts = {r["split"]: r["count"] for r in splits.groupBy("split").count().collect()}
     train = splits.where(F.col("split") == "train")
     fmodel = fit_feature_pipeline(train, id_col, text_col, options.features, options.clean)
@@ -272,3 +276,25 @@ def options_dict(options: TrainOptions) -> dict:
 
 def new_run_id() -> str:
     return uuid.uuid4().hex
+
+
+def quick_training(spark: SparkSession, reviews: DataFrame, options: TrainOptions = TrainOptions(), **kw) -> TrainResult:
+    """The quick variant — 1000 sampled rows."""
+    from dataclasses import replace
+
+    return train(spark, reviews, replace(options, dataset_size=1000), **kw)
+
+
+def full_training(spark: SparkSession, reviews: DataFrame, options: TrainOptions = TrainOptions(), **kw) -> TrainResult:
+    """The full variant — every row (``None`` really means all rows, D6)."""
+    from dataclasses import replace
+
+    return train(spark, reviews, replace(options, dataset_size=None), **kw)
+
+
+def retrain(spark: SparkSession, reviews: DataFrame, overrides: Optional[dict] = None,
+            options: TrainOptions = TrainOptions(), **kw) -> TrainResult:
+    """Retraining with nested overrides merged one level deep — and actually applied."""
+    from opinio.options import with_overrides
+
+    return train(spark, reviews, with_overrides(options, overrides), **kw)
