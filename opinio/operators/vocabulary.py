@@ -83,9 +83,12 @@ def doc_term_counts(texts: DataFrame, id_col: str, text_col: str, options: Featu
     """
     terms = with_feature_terms(texts, text_col, options, stop_words)
     exploded = terms.select(id_col, F.explode_outer("_terms").alias("term")).where(F.col("term").isNotNull())
+    keys = [id_col, "term"]
     if vocab is not None:
-        exploded = exploded.join(_maybe_broadcast(vocab.select("term"), vocab_bound), "term", "left_semi")
-    counts = exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+        # Unseen terms are dropped right after the explode; idf and index ride along as grouping keys.
+        exploded = exploded.join(_maybe_broadcast(vocab.select("term", "idf", "idx"), vocab_bound), "term")
+        keys += ["idf", "idx"]
+    counts = exploded.groupBy(*keys).agg(F.count(F.lit(1)).alias("tf"))
     if options.binary:
         counts = counts.withColumn("tf", F.lit(1).cast("long"))
     return counts
@@ -159,10 +162,8 @@ def tfidf(df: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
     is_tfidf = options.vectorizer_type.lower() == "tfidf"
     use_idf = is_tfidf if use_idf is None else use_idf
     normalize = is_tfidf if normalize is None else normalize
-    counts = doc_term_counts(doc_texts(df, id_col, text_col), id_col, text_col, options, stops, vocab=vocab,
-                             vocab_bound=options.max_features)
-    v = _maybe_broadcast(vocab.select("term", "idf", "idx"), options.max_features)
-    out = counts.join(v, "term")
+    out = doc_term_counts(doc_texts(df, id_col, text_col), id_col, text_col, options, stops, vocab=vocab,
+                          vocab_bound=options.max_features)
     w = F.col("tf") * F.col("idf") if use_idf else F.col("tf").cast("double")
     out = out.withColumn("weight", w)
     if normalize:
