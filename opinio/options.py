@@ -61,7 +61,7 @@ class TrainOptions:
     rf_depths: tuple[Optional[int], ...] = (10, 20, None)
     rf_min_leaf: tuple[int, ...] = (1, 2)
     models: tuple[str, ...] = ("logistic_regression", "svm", "random_forest")
-    parallelism: int = 4
+    parallelism: int = 8  # concurrent fits in grid search (the reference searches on all cores)
     # Rows per partition of the persisted training features: iterative solvers pay one task per
     # partition per iteration, so the partition count follows the row count, not the shuffle default.
     rows_per_partition: int = 100_000

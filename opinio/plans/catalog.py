@@ -418,7 +418,7 @@ def q_label_decode(spark, sf_dir):
        "UNION ALL SELECT term, pos_docs, neg_docs, round(log_odds, 9) AS log_odds, rank, direction FROM n WHERE rank <= 20")
 def q_term_polarity_topk(spark, sf_dir):
     """K2 in SQL form: top-20 terms by smoothed log-odds in each direction."""
-    cleaned = reviews(spark, sf_dir).withColumn("tokens", tx.clean_tokens("review"))
+    cleaned = spread(reviews(spark, sf_dir)).withColumn("tokens", tx.clean_tokens("review"))
     pol = vc.term_polarity(cleaned, "doc_id", "tokens", "sentiment")
     top = vc.polarity_topk(pol, 20)
     return top.select("term", "pos_docs", "neg_docs", F.round("log_odds", 9).alias("log_odds"), "rank", "direction")

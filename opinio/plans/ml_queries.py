@@ -75,8 +75,8 @@ def q_cv_scores(spark, sf_dir):
     _, _, train_f, _ = _prepared(spark, sf_dir)
     n_train = train_f.count()
     rows = tr.cv_scores(DEFAULTS, train_f, n_train, "logistic_regression")
-    data = [(float(c), float(pm["regParam"]), float(s)) for c, (pm, s) in zip(DEFAULTS.lr_c, rows)]
-    return spark.createDataFrame(data, "C double, reg_param double, cv_f1_binary double")
+    data = [(float(pt["C"]), float(s)) for pt, s in rows]
+    return spark.createDataFrame(data, "C double, cv_f1_binary double")
 
 
 @query("assign_folds_features")

@@ -4,7 +4,8 @@ One plan per step, all on Spark ML:
 
 * the split table is deterministic (``md5(id|seed)``), so a lost executor's partitions recompute to
   the same rows; the features table is persisted once (``MEMORY_AND_DISK``) and reused by every fit;
-* grid search is ``CrossValidator`` over a precomputed stratified ``fold`` column;
+* grid search fits every (grid point, fold) pair concurrently over a precomputed stratified
+  ``fold`` column, with the exact per-fold regularisation of the linear models;
 * metrics are the DataFrame aggregates of ``operators.metrics``; only one-row results and
   model-sized objects (coefficients, best parameters) reach the driver.
 """
@@ -22,7 +23,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,40 +123,72 @@ def evaluate(model: PipelineModel, features: DataFrame) -> dict:
     return m
 
 
-def fit_model(name: str, options: TrainOptions, train_features: DataFrame, n_train: int):
-    """Grid search + k-fold CV (M4) + refit on the whole training split."""
-    est, grid = model_grid(name, options, _fold_size(n_train, options.cv_folds))
+def _regularised(name: str, options: TrainOptions) -> bool:
+    return name in ("logistic_regression", "svm")
+
+
+def _grid_points(name: str, options: TrainOptions) -> list[dict]:
+    """Grid points in reference terms (``C`` for the linear models, Spark params for the forest)."""
+    if name == "logistic_regression":
+        return [{"C": c} for c in options.lr_c]
+    if name == "svm":
+        return [{"C": c} for c in options.svm_c]
+    _, grid = model_grid(name, options, 1.0)
+    return [_param_dict(pm) for pm in grid]
+
+
+def _estimator_for(name: str, options: TrainOptions, point: dict, n_fit: int):
+    est, _ = model_grid(name, options, max(n_fit, 1))
+    if _regularised(name, options):
+        return est.copy({est.regParam: 1.0 / (point["C"] * max(n_fit, 1))})
+    return est.copy({est.getParam(k): v for k, v in point.items()})
+
+
+def grid_search_cv(name: str, options: TrainOptions, train_features: DataFrame) -> list[tuple[dict, float]]:
+    """M4: every (grid point, fold) fit runs concurrently on one thread pool (``parallelism``);
+    each fold's training rows are a filter of the persisted, fold-tagged table.  The linear models
+    get the exact per-fold regularisation ``1 / (C * n_fold)``.  Returns the mean binary F1 of the
+    positive class per grid point, in grid order."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    k = options.cv_folds
+    sizes = {r["fold"]: r["count"] for r in train_features.groupBy("fold").count().collect()}
     evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
                                                   metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold",
-                        numFolds=options.cv_folds, parallelism=options.parallelism, seed=options.seed)
-    cv_model = cv.fit(train_features)
-    scores = list(cv_model.avgMetrics)
-    best_i = max(range(len(scores)), key=lambda i: (scores[i], -i))
-    best_params = _param_dict(grid[best_i])
-    if name in ("logistic_regression", "svm"):
-        # Refit with the full-split regularisation of the chosen C.
-        c_value = (options.lr_c if name == "logistic_regression" else options.svm_c)[best_i]
-        best_params = {"C": c_value}
-        est_full = est.copy({est.regParam: 1.0 / (c_value * max(n_train, 1))})
-        stages = [est_full]
-        if name == "svm":
-            stages.append(_platt(train_features))
-        model = Pipeline(stages=stages).fit(train_features)
-    else:
-        model = PipelineModel(stages=[cv_model.bestModel])
-    return model, scores[best_i], best_params
+    points = _grid_points(name, options)
+
+    def run(job):
+        pi, fold = job
+        n_fit = sum(v for f, v in sizes.items() if f != fold)
+        est = _estimator_for(name, options, points[pi], n_fit)
+        model = est.fit(train_features.where(F.col("fold") != fold))
+        return pi, evaluator.evaluate(model.transform(train_features.where(F.col("fold") == fold)))
+
+    jobs = [(pi, fold) for pi in range(len(points)) for fold in range(k)]
+    with ThreadPoolExecutor(max_workers=max(1, options.parallelism)) as pool:
+        results = list(pool.map(run, jobs))
+    sums = [0.0] * len(points)
+    for pi, score in results:
+        sums[pi] += float(score)
+    return [(points[i], sums[i] / k) for i in range(len(points))]
+
+
+def fit_model(name: str, options: TrainOptions, train_features: DataFrame, n_train: int):
+    """Grid search + k-fold CV (M4), then a refit of the best point on the whole training split."""
+    scored = grid_search_cv(name, options, train_features)
+    best_i = max(range(len(scored)), key=lambda i: (scored[i][1], -i))
+    point, cv_f1 = scored[best_i]
+    est = _estimator_for(name, options, point, n_train)
+    stages = [est]
+    if name == "svm":
+        stages.append(_platt(train_features))
+    model = Pipeline(stages=stages).fit(train_features)
+    return model, float(cv_f1), dict(point)
 
 
 def cv_scores(options: TrainOptions, train_features: DataFrame, n_train: int, name: str = "logistic_regression"):
     """Per grid point: mean binary F1 over the folds (M4)."""
-    est, grid = model_grid(name, options, _fold_size(n_train, options.cv_folds))
-    evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                                  metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold",
-                        numFolds=options.cv_folds, parallelism=options.parallelism, seed=options.seed)
-    m = cv.fit(train_features)
-    return [(_param_dict(pm), s) for pm, s in zip(grid, m.avgMetrics)]
+    return grid_search_cv(name, options, train_features)
 
 
 def prepare(spark: SparkSession, reviews: DataFrame, options: TrainOptions, id_col: str = "doc_id",
@@ -231,12 +264,15 @@ def train(spark: SparkSession, reviews: DataFrame, options: TrainOptions = Train
 
 def leaderboard(spark: SparkSession, result: TrainResult) -> DataFrame:
     """K3 report: one row per configured model (class-sized, built from the driver's results)."""
+    def num(x):
+        return None if x is None else float(x)
+
     rows = []
     for order, (name, r) in enumerate(result.results.items()):
         v = r.val_metrics
-        rows.append((order, name, r.status, r.cv_f1_binary, v.get("accuracy"), v.get("precision"), v.get("recall"),
-                     v.get("f1"), v.get("roc_auc"), json.dumps(r.best_params, sort_keys=True),
-                     name == result.best_model_name))
+        rows.append((order, name, r.status, num(r.cv_f1_binary), num(v.get("accuracy")), num(v.get("precision")),
+                     num(v.get("recall")), num(v.get("f1")), num(v.get("roc_auc")),
+                     json.dumps(r.best_params, sort_keys=True, default=str), name == result.best_model_name))
     schema = ("model_order int, model string, status string, cv_f1_binary double, val_accuracy double, "
               "val_precision double, val_recall double, val_f1 double, val_roc_auc double, best_params string, "
               "is_best boolean")
