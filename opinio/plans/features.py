@@ -22,7 +22,6 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from opinio.functions.text import clean_text
 from opinio.operators.vocabulary import fit_vocabulary, resolve_stop_words, with_feature_terms

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession

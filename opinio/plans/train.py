@@ -38,6 +38,8 @@ MAX_RF_DEPTH = 30  # Spark's limit stands in for "no limit"
 # The reference estimators' default stopping tolerances.
 LR_TOL = 1e-4
 SVM_TOL = 1e-3
+# Spark's own LinearSVC default: the reference SVC has no iteration cap that maps onto OWLQN's.
+SVM_MAX_ITER = 100
 
 
 @dataclass
@@ -80,7 +82,7 @@ def model_grid(name: str, options: TrainOptions, n_fit: float):
         grid = ParamGridBuilder().addGrid(est.regParam, [1.0 / (c * n_fit) for c in options.lr_c]).build()
         return est, grid
     if name == "svm":
-        est = LinearSVC(featuresCol="features", labelCol="label", maxIter=1000, standardization=False,
+        est = LinearSVC(featuresCol="features", labelCol="label", maxIter=SVM_MAX_ITER, standardization=False,
                         rawPredictionCol="svm_raw", tol=SVM_TOL)
         grid = ParamGridBuilder().addGrid(est.regParam, [1.0 / (c * n_fit) for c in options.svm_c]).build()
         return est, grid
@@ -132,18 +134,42 @@ def _grid_points(name: str, options: TrainOptions) -> list[dict]:
     if name == "logistic_regression":
         return [{"C": c} for c in options.lr_c]
     if name == "svm":
-        return [{"C": c} for c in options.svm_c]
+        # The linear kernel ignores gamma, so it is fitted once per C.
+        points = []
+        for c in options.svm_c:
+            for kernel in options.svm_kernels:
+                if kernel == "linear":
+                    points.append({"C": c, "kernel": "linear"})
+                else:
+                    points += [{"C": c, "kernel": kernel, "gamma": g} for g in options.svm_gammas]
+        return points
     _, grid = model_grid(name, options, 1.0)
     return [_param_dict(pm) for pm in grid]
 
 
-def _estimator_for(name: str, options: TrainOptions, point: dict, n_fit: int):
+def _estimator_for(name: str, options: TrainOptions, point: dict, n_fit: int, gammas: dict | None = None):
     est, _ = model_grid(name, options, max(n_fit, 1))
     if _regularised(name, options):
-        return est.copy({est.regParam: 1.0 / (point["C"] * max(n_fit, 1))})
+        est = est.copy({est.regParam: 1.0 / (point["C"] * max(n_fit, 1))})
+        if point.get("kernel", "linear") == "rbf":
+            from opinio.plans.kernel import RandomFourierFeatures
+
+            rff = RandomFourierFeatures(inputCol="features", outputCol="rff", numComponents=options.rff_components,
+                                        gamma=(gammas or {})[point["gamma"]], seed=options.seed)
+            return Pipeline(stages=[rff, est.copy({est.featuresCol: "rff"})])
+        return est
     return est.copy({est.getParam(k): v for k, v in point.items()})
 
 
+def _gammas(name: str, options: TrainOptions, train_features: DataFrame) -> dict:
+    """'scale' / 'auto' resolved once on the training split (one aggregate)."""
+    if name != "svm" or "rbf" not in options.svm_kernels:
+        return {}
+    from opinio.plans.kernel import resolve_gamma
+
+    return {g: resolve_gamma(g, train_features) for g in options.svm_gammas}
+
+
 def grid_search_cv(name: str, options: TrainOptions, train_features: DataFrame) -> list[tuple[dict, float]]:
     """M4: every (grid point, fold) fit runs concurrently on one thread pool (``parallelism``);
     each fold's training rows are a filter of the persisted, fold-tagged table.  The linear models
@@ -156,17 +182,33 @@ def grid_search_cv(name: str, options: TrainOptions, train_features: DataFrame)
     evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
                                                   metricName="fMeasureByLabel", metricLabel=1.0)
     points = _grid_points(name, options)
+    gammas = _gammas(name, options, train_features)
+    # Random features depend on gamma only: computed once per gamma and persisted, not per fit.
+    rff_tables = {}
+    if gammas:
+        from opinio.plans.kernel import RandomFourierFeatures
+
+        for label, value in gammas.items():
+            rff = RandomFourierFeatures(inputCol="features", outputCol="rff", numComponents=options.rff_components,
+                                        gamma=value, seed=options.seed)
+            rff_tables[label] = rff.transform(train_features).persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(job):
         pi, fold = job
+        point = points[pi]
         n_fit = sum(v for f, v in sizes.items() if f != fold)
-        est = _estimator_for(name, options, points[pi], n_fit)
-        model = est.fit(train_features.where(F.col("fold") != fold))
-        return pi, evaluator.evaluate(model.transform(train_features.where(F.col("fold") == fold)))
+        est = _estimator_for(name, options, point, n_fit, gammas)
+        data = train_features
+        if point.get("kernel") == "rbf":
+            est, data = est.getStages()[1], rff_tables[point["gamma"]]
+        model = est.fit(data.where(F.col("fold") != fold))
+        return pi, evaluator.evaluate(model.transform(data.where(F.col("fold") == fold)))
 
     jobs = [(pi, fold) for pi in range(len(points)) for fold in range(k)]
     with ThreadPoolExecutor(max_workers=max(1, options.parallelism)) as pool:
         results = list(pool.map(run, jobs))
+    for t in rff_tables.values():
+        t.unpersist()
     sums = [0.0] * len(points)
     for pi, score in results:
         sums[pi] += float(score)
@@ -178,7 +220,7 @@ def fit_model(name: str, options: TrainOptions, train_features: DataFrame, n_tra
     scored = grid_search_cv(name, options, train_features)
     best_i = max(range(len(scored)), key=lambda i: (scored[i][1], -i))
     point, cv_f1 = scored[best_i]
-    est = _estimator_for(name, options, point, n_train)
+    est = _estimator_for(name, options, point, n_train, _gammas(name, options, train_features))
     stages = [est]
     if name == "svm":
         stages.append(_platt(train_features))
