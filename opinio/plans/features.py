@@ -114,13 +114,21 @@ def feature_stages(vocab_rows, options: FeatureOptions, stop_words, clean: Clean
 
 def fit_feature_pipeline(train: DataFrame, id_col: str, text_col: str = "review",
                          options: FeatureOptions = FeatureOptions(),
-                         clean: CleanOptions = CleanOptions(), features_col: str = "features") -> PipelineModel:
-    """Fit on the training rows only: clean -> vocabulary job -> assembled ``PipelineModel``."""
+                         clean: CleanOptions = CleanOptions(), features_col: str = "features",
+                         processed_col: Optional[str] = None) -> PipelineModel:
+    """Fit on the training rows only: clean -> vocabulary job -> assembled ``PipelineModel``.
+
+    ``processed_col`` names an already cleaned column of ``train`` (cleaned with ``clean``), so the
+    texts are not cleaned a second time."""
     spark = train.sparkSession
     stops = resolve_stop_words(spark, options)
-    cleaned = TextCleaner.from_options(clean, inputCol=text_col, outputCol="_processed").transform(
-        train.select(id_col, text_col))
-    vocab = fit_vocabulary(cleaned, id_col, "_processed", options, stops)
+    if processed_col is None:
+        cleaned = TextCleaner.from_options(clean, inputCol=text_col, outputCol="_processed").transform(
+            train.select(id_col, text_col))
+        source = "_processed"
+    else:
+        cleaned, source = train.select(id_col, processed_col), processed_col
+    vocab = fit_vocabulary(cleaned, id_col, source, options, stops)
     bound = options.max_features
     if bound is None or bound > MAX_MODEL_VOCABULARY:
         n = vocab.count()

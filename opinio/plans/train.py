@@ -27,6 +27,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinio.functions.text import clean_text
 from opinio.operators.metrics import classification_metrics, roc_auc
 from opinio.operators.sampling import assign_folds, sample_n, stratified_split
 from opinio.options import TrainOptions
@@ -240,17 +241,21 @@ def prepare(spark: SparkSession, reviews: DataFrame, options: TrainOptions, id_c
     The split table is computed once and checkpointed, so the label of a row cannot move between
     jobs; features tables are repartitioned to ``ceil(rows / rows_per_partition)`` and persisted."""
     df = sample_n(reviews, options.dataset_size, id_col, options.split.seed) if options.dataset_size else reviews
-    splits = stratified_split(df, label_col, id_col, options.split).withColumn(
-        "label", F.col(label_col).cast("double"))
+    processed = f"{text_col}_processed"
+    # Cleaned once, before the checkpoint: the vocabulary fit and the feature table both read it.
+    splits = (stratified_split(df, label_col, id_col, options.split)
+              .withColumn("label", F.col(label_col).cast("double"))
+              .withColumn(processed, clean_text(text_col, options.clean)))
     # Reliable checkpoint in the shared folder named by spark.checkpoint.dir: membership is then
     # durable and later jobs (and lost executors) restart from it, not from the raw scan.
     checkpoint_root(spark)
     splits = splits.checkpoint(eager=True)
     counts = {r["split"]: r["count"] for r in splits.groupBy("split").count().collect()}
     train = splits.where(F.col("split") == "train")
-    fmodel = fit_feature_pipeline(train, id_col, text_col, options.features, options.clean)
+    fmodel = fit_feature_pipeline(train, id_col, text_col, options.features, options.clean, processed_col=processed)
     keep = [id_col, "label", "split"]
-    feats = fmodel.transform(splits).select(*keep, "features")
+    vectorise = PipelineModel(stages=list(fmodel.stages[1:]))  # every stage after the cleaner
+    feats = vectorise.transform(splits).select(*keep, "features")
 
     def parts(n: int) -> int:
         return max(1, -(-n // options.rows_per_partition))
