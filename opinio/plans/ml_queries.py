@@ -116,7 +116,9 @@ def _trained(spark, sf_dir):
         opts = replace(DEFAULTS, rf_trees=DEFAULTS.rf_trees[:1], rf_depths=DEFAULTS.rf_depths[:1],
                        rf_min_leaf=DEFAULTS.rf_min_leaf[:1])
         runs = scratch_path(spark, "runs")
-        _MEMO[key] = (tr.train(spark, reviews(spark, sf_dir), opts, runs_path=runs), runs)
+        # Same split / feature options as DEFAULTS (only the forest grid differs): reuse that preparation.
+        _MEMO[key] = (tr.train(spark, reviews(spark, sf_dir), opts, runs_path=runs,
+                               prepared=_prepared(spark, sf_dir)), runs)
     return _MEMO[key]
 
 

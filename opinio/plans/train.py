@@ -270,10 +270,11 @@ def prepare(spark: SparkSession, reviews: DataFrame, options: TrainOptions, id_c
 
 def train(spark: SparkSession, reviews: DataFrame, options: TrainOptions = TrainOptions(),
           id_col: str = "doc_id", label_col: str = "sentiment", text_col: str = "review",
-          runs_path: Optional[str] = None) -> TrainResult:
+          runs_path: Optional[str] = None, prepared: Optional[tuple] = None) -> TrainResult:
     """Every configured model; failures are recorded, not swallowed; best by validation
-    weighted F1 (strictly greater, first model wins ties — K3); test metrics for the best."""
-    splits, fmodel, train_f, others = prepare(spark, reviews, options, id_col, label_col, text_col)
+    weighted F1 (strictly greater, first model wins ties — K3); test metrics for the best.
+    ``prepared`` reuses the output of ``prepare`` made with the same split / feature options."""
+    splits, fmodel, train_f, others = prepared or prepare(spark, reviews, options, id_col, label_col, text_col)
     n_train = train_f.count()
     val_f = others.where(F.col("split") == "val")
     test_f = others.where(F.col("split") == "test")
