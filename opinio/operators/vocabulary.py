@@ -6,7 +6,8 @@ Plan shape:
   per-document L2 norm then run without another exchange (the hash partitioning on the id
   satisfies both);
 * document frequencies: ``groupBy(term)`` with map-side partial aggregation, so a term present in
-  a third of all documents still arrives as one partial row per task;
+  a third of all documents still arrives as one partial row per task; the exchanged texts are
+  persisted for the fit, which reads them twice (document count and term statistics);
 * the fitted vocabulary is bounded by ``max_features`` and is broadcast into the transform; with no
   bound, the join is left to the planner (sort-merge / AQE).
 """
@@ -22,6 +23,7 @@ from numbers import Integral
 from typing import Optional, Sequence
 
 import pyspark
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -132,9 +134,10 @@ def fit_vocabulary(df: DataFrame, id_col: str, text_col: str,
     """
     spark = df.sparkSession
     stops = resolve_stop_words(spark, options) if stop_words is None else tuple(stop_words)
-    texts = doc_texts(df, id_col, text_col)
-    # Counted on the exchanged texts, so the subquery reuses the exchange instead of re-cleaning.
-    n_docs = texts.select(F.count(F.lit(1)).cast("double")).scalar()
+    # The exchanged texts are read twice (document count, term statistics): persisted once, so the
+    # upstream work (cleaning) runs once; a scalar subquery would re-run it.
+    texts = doc_texts(df, id_col, text_col).persist(StorageLevel.MEMORY_AND_DISK)
+    n_docs = F.lit(float(texts.count()))
     counts = doc_term_counts(texts, id_col, text_col, options, stops)
     stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     kept = stats.where((F.col("df") >= _doc_count_limit(options.min_df, n_docs))
