@@ -14,44 +14,23 @@ Plan shape:
 
 from __future__ import annotations
 
-import functools
 from dataclasses import replace
-import glob
-import os
-import zipfile
 from numbers import Integral
 from typing import Optional, Sequence
 
-import pyspark
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from opinio.functions.stopwords import ENGLISH_STOP_WORDS
 from opinio.functions.text import ngrams, vector_tokens
 from opinio.options import FeatureOptions
 
 BROADCAST_VOCAB_LIMIT = 2_000_000
 
 
-@functools.lru_cache(maxsize=1)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark's built-in English stop list (the vectoriser's ``stop_words="english"`` counterpart).
-
-    Read from the MLlib jar's resource so that no JVM is needed (the SQL oracle uses it too); the
-    JVM loader is the fallback."""
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in z.namelist():
-                return tuple(z.read(name).decode("utf-8").split())
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
-
-
 def resolve_stop_words(spark: SparkSession, options: FeatureOptions) -> tuple[str, ...]:
-    return english_stop_words() if options.stop_words is None else tuple(options.stop_words)
+    return ENGLISH_STOP_WORDS if options.stop_words is None else tuple(options.stop_words)
 
 
 def with_feature_terms(df: DataFrame, text_col: str, options: FeatureOptions, stop_words: Sequence[str],

@@ -7,7 +7,7 @@ from __future__ import annotations
 from opinio.functions.text import (ENTITY_PATTERN, PUNCTUATION, STOP_WORDS, TAG_PATTERN, URL_PATTERN,
                                    WHITESPACE_CLASS)
 from opinio.options import CleanOptions, FeatureOptions
-from opinio.operators.vocabulary import english_stop_words
+from opinio.functions.stopwords import ENGLISH_STOP_WORDS
 
 
 def lit(s: str) -> str:
@@ -64,7 +64,7 @@ def clean_text(col: str, o: CleanOptions = CleanOptions()) -> str:
 
 def vector_terms_cte(source: str, id_col: str, text_col: str, o: FeatureOptions = FeatureOptions()) -> str:
     """CTE bodies ``vt_tok(id, toks)`` and ``vt_terms(id, term)`` (unigrams + n-grams)."""
-    stops = english_stop_words() if o.stop_words is None else o.stop_words
+    stops = ENGLISH_STOP_WORDS if o.stop_words is None else o.stop_words
     text = f"coalesce({text_col}, '')"
     if o.lowercase:
         text = f"lower({text})"
