@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opinio.llm.common import read_table
+from opinio.llm.decontam import decontaminate
 from opinio.llm.simhash import simhash_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,37 @@ def oracle_sql() -> dict[str, str]:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return simhash_groups(docs, shingle=3, max_bits=3).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op2_decontaminate")
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10)
+
+
+ORACLE["op2_decontaminate"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS win, len(list_slice(w, i, i + 9)) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+pos AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+hits AS (
+  SELECT p.doc_id, p.i, s.n, s.item_id
+  FROM (SELECT p.doc_id, p.i, k.n, list_slice(p.w, p.i, p.i + k.n - 1) AS win, len(p.w) AS m
+        FROM pos p, (SELECT DISTINCT n FROM wins) k WHERE p.i + k.n - 1 <= len(p.w)) p
+  JOIN wins s ON s.win = p.win),
+covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hits GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items,
+       sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
+"""
