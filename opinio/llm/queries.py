@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opinio.llm.common import read_table
 from opinio.llm.decontam import decontaminate
+from opinio.llm.lm import lm_scores
 from opinio.llm.simhash import simhash_groups
+from opinio.llm.spm import same_text, sentencepiece_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +67,18 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
        sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
+
+
+@query("op5_sentencepiece")
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: pieces, byte pieces among them, a hash of the ids, and whether they decode to the text."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_ids(docs).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"),
+        F.size(F.filter("ids", lambda i: i.between(3, 258))).cast("long").alias("n_bytes"),
+        F.xxhash64("ids").alias("ids_hash"), same_text(F.col("text"), F.col("decoded")).alias("decodes"))
+
+
+@query("op10_lm")
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"))
