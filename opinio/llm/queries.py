@@ -12,6 +12,7 @@ from opinio.llm.decontam import decontaminate
 from opinio.llm.lm import lm_scores
 from opinio.llm.simhash import simhash_groups
 from opinio.llm.spm import same_text, sentencepiece_ids
+from opinio.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +83,9 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm")
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(read_table(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return score_toxicity(docs.select("doc_id", "text"), labels).select("doc_id", "held_out", "score", "predicted")
