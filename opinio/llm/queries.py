@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from opinio.llm.common import read_table
 from opinio.llm.decontam import decontaminate
+from opinio.llm.html_text import extract_pages
 from opinio.llm.lm import lm_scores
 from opinio.llm.simhash import simhash_groups
 from opinio.llm.spm import same_text, sentencepiece_ids
 from opinio.llm.toxicity import score_toxicity
+from opinio.llm.urlfilter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,3 +91,13 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return score_toxicity(docs.select("doc_id", "text"), labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op6_html")
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op9_url_filter")
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(read_table(spark, sf_dir, "pages"))
