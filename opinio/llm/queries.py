@@ -15,6 +15,8 @@ from opinio.llm.simhash import simhash_groups
 from opinio.llm.spm import same_text, sentencepiece_ids
 from opinio.llm.toxicity import score_toxicity
 from opinio.llm.urlfilter import filter_urls
+from opinio.llm.warc import page_records
+from opinio.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +103,8 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_url_filter")
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages"))
+
+
+@query("op7_warc")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
