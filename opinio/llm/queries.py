@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opinio.llm.common import read_table
 from opinio.llm.decontam import decontaminate
+from opinio.llm.embed_dedup import embedding_groups
 from opinio.llm.html_text import extract_pages
 from opinio.llm.lm import lm_scores
 from opinio.llm.simhash import simhash_groups
@@ -108,3 +109,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_warc")
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
+@query("op3_embedding_dedup")
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(read_table(spark, sf_dir, "embeddings"))
