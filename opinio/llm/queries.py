@@ -12,6 +12,7 @@ from opinio.llm.decontam import decontaminate
 from opinio.llm.embed_dedup import embedding_groups
 from opinio.llm.html_text import extract_pages
 from opinio.llm.lm import lm_scores
+from opinio.llm.secret_scan import scan_secrets
 from opinio.llm.simhash import simhash_groups
 from opinio.llm.spm import same_text, sentencepiece_ids
 from opinio.llm.toxicity import score_toxicity
@@ -114,3 +115,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_embedding_dedup")
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_secrets")
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document: its span, the digest of its value, the forest's score and verdict."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return scan_secrets(docs).select("doc_id", F.explode("findings").alias("f")).select("doc_id", "f.*")
