@@ -26,34 +26,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-duplicates: the document with the smallest id of each group stays.  A group of null ids only
-    keeps one of them; rows that repeat the kept id are one document."""
-    groups = simhash_groups(docs, shingle=3, max_bits=3)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keys = kept.groupBy("doc_id").agg(F.min("fingerprint").alias("fingerprint"))
-    named = docs.join(keys.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where(F.col("doc_id").isNull())
-    if nameless.limit(1).count():
-        only = kept.where(F.col("doc_id").isNull()).select("component_fp")
-        marked = simhash_groups(nameless.withColumn("doc_id", F.monotonically_increasing_id()), 3, 3)
-        nameless = nameless.withColumn("_n", F.monotonically_increasing_id()).join(
-            marked.join(only, "component_fp", "left_semi").dropDuplicates(["component_fp"])
-            .select(F.col("doc_id").alias("_n")), "_n", "left_semi")
-        named = named.unionByName(nameless.select(*docs.columns))
-    return named.select(*COLUMNS)
+    """SimHash near-duplicates: the document with the smallest id of each group stays.  A document with a null
+    id goes by a number made from its text, above all ids; rows that repeat the kept id are one document."""
+    hashed = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    docs = docs.select(*COLUMNS).withColumn("_key", F.coalesce("doc_id", hashed))
+    groups = simhash_groups(docs, shingle=3, max_bits=3, id_col="_key")
+    kept = materialise(groups.where(F.col("_key") == F.col("component_id")).select("_key"), "kept")
+    return docs.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*COLUMNS)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents with any occurrence of a benchmark window go."""
     found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"), window=10)
-    hit = materialise(found.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(hit["doc_id"]), "left_anti").select(*COLUMNS)
+    hit = materialise(found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scan: secrets are replaced by a mark, every document stays."""
     out = redact(scan_secrets(docs.select(*COLUMNS)))
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    cut = F.exists("findings", lambda f: f["secret"])
+    return out.withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(
+        *COLUMNS)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
