@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)/?>"
-    r"|(?P<text>[^<]+|<)", re.S)
+    r"|(?P<text>[^<]+|<(?![a-zA-Z/]))|</(?![a-zA-Z])[^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-z]+")
 
@@ -96,11 +96,8 @@ def blocks(page: str) -> list[Block]:
             pos, skip_until = (m.end() if m else n), ""
             continue
         m = _TOKEN.match(page, pos)
-        if m is None:  # an open tag that never ends is text
-            nxt = page.find("<", pos + 1)
-            nxt = n if nxt < 0 else nxt
-            text.append(page[pos:nxt])
-            pos = nxt
+        if m is None:  # a tag with an open quote ends at the next bracket, or with the page
+            pos = page.find(">", pos) + 1 or n
             continue
         pos = m.end()
         if m["text"] is not None:

@@ -1,6 +1,6 @@
 """Secret scan: candidate strings, with false positives removed by a random forest.
 
-A candidate is a long run of key-like characters with a digit in it, or any value assigned to a credential
+A candidate is a long run of key-like characters with a digit or an issuer's prefix, or any value assigned to a credential
 name.  Its features are its length, character classes and the transitions between them, the share covered
 by dictionary pieces, the words of the document's path, and the words and signs next to it.  The forest is
 trained with Spark ML on labelled findings: candidates with a label, from a table of reviewed findings or,
@@ -101,7 +101,7 @@ def candidates(text: bytes) -> Iterator[tuple[int, int]]:
         name = value.rfind(b":") + 1  # name:value in one run
         if name and value[:name - 1].lower() in CREDENTIAL_NAMES:
             start += name
-        elif not any(48 <= c <= 57 for c in value):
+        elif not any(48 <= c <= 57 for c in value) and not _ISSUED.search(value):
             continue
         while end > start and text[end - 1] in b".:-@":  # sentence signs at the end
             end -= 1

@@ -44,6 +44,7 @@ class FMOptions:
     factor_rate: float = 0.3
     #: Pull of linear weights to zero (absolute) and of factors (in proportion).
     shrink: float = 0.02
+    max_factor: float = 4.0
     seed: int = 7
 
 
@@ -109,11 +110,15 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, o: FMOptions):
             dw = np.bincount(where, (err * scale)[owner], len(uniq))
             pair = (err * scale ** 2)[owner, None] * (s[owner] - vs)
             dv = np.stack([np.bincount(where, pair[:, f], len(uniq)) for f in range(o.factors)], axis=1)
+            # A feature of many rows of the batch gets the sum of their steps; its root keeps that stable.
+            calm = 1 / np.sqrt(np.bincount(where))
+            dw, dv = dw * calm, dv * calm[:, None]
             rate = o.rate * (1 - step / steps)
             step += 1
             moved = w[uniq] - rate * dw
             w[uniq] = np.sign(moved) * np.maximum(np.abs(moved) - rate * o.shrink, 0)
-            v[uniq] = (v[uniq] - o.factor_rate * rate * dv) * (1 - min(0.5, rate * o.shrink))
+            v[uniq] = np.clip((v[uniq] - o.factor_rate * rate * dv) * (1 - min(0.5, rate * o.shrink)),
+                              -o.max_factor, o.max_factor)
             bias -= 0.1 * rate * float(err.mean())
     return bias, w, v
 
