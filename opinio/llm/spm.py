@@ -23,7 +23,7 @@ from opinio.llm.unigram import (BYTE, MARK, NORMAL, UNKNOWN_PENALTY, Trie, Vocab
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words remembered by a task, and the longest word that is worth it.
-MEMO_WORDS, MEMO_BYTES = 200_000, 256
+MEMO_WORDS, MEMO_BYTES = 100_000, 128
 _RUNS = re.compile(rb" +[^ \n]*|\n[^ \n]*")
 
 
@@ -96,7 +96,7 @@ class Encoder:
         return [b"".join([merged[w] for w in words]) for words in split]
 
 
-def _slices(array: pa.Array, rows: int = 512) -> Iterator[pa.Array]:
+def _slices(array: pa.Array, rows: int = 256) -> Iterator[pa.Array]:
     return (array.slice(i, rows) for i in range(0, len(array), rows))
 
 

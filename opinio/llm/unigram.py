@@ -18,7 +18,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: An unknown character scores this much below the lowest piece.
 UNKNOWN_PENALTY = 10.0
 #: Words in one lattice batch are at most this long together; longer words go alone.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 17
 #: Offsets tried at once when a trie node is placed.
 WINDOW = 512
 
