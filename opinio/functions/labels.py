@@ -26,7 +26,7 @@ def label_to_int(c, dtype: T.DataType, on_bad: str = "error") -> Column:
     col = F.col(c) if isinstance(c, str) else c
     if isinstance(dtype, T.StringType):
         low = F.lower(col)
-        bad = (F.raise_error(F.concat(F.lit("Could not map sentiment value: "),
+        bad = (F.raise_error(F.concat(F.lit("unknown sentiment label: "),
                                       F.coalesce(col, F.lit("null")))).cast("int")
                if on_bad == "error" else F.lit(None).cast("int"))
         return (F.when(low.isin(*POSITIVE_LABELS), F.lit(1))
@@ -36,7 +36,7 @@ def label_to_int(c, dtype: T.DataType, on_bad: str = "error") -> Column:
         return col.cast("int")
     casted = col.cast("int")
     if on_bad == "error":
-        return F.when(col.isNull(), F.raise_error(F.lit("Null sentiment label")).cast("int")).otherwise(casted)
+        return F.when(col.isNull(), F.raise_error(F.lit("sentiment label is null")).cast("int")).otherwise(casted)
     return casted
 
 

@@ -145,12 +145,15 @@ def vector_tokens(c, lowercase: bool = True) -> Column:
     return F.regexp_extract_all(text, F.lit(VECTOR_TOKEN_PATTERN), 0)
 
 
-def ngrams(tokens, ngram_range: tuple[int, int] = (1, 2)) -> Column:
+def ngrams(tokens: str, ngram_range: tuple[int, int] = (1, 2)) -> Column:
     """all n-grams for n in the range, joined by a space, unigrams first then bigrams ...
 
-    ``sequence(1, 0)`` counts down, so every n is guarded by the array size.
+    ``tokens`` names a staged array column.  An expression is refused: it would be evaluated again for every
+    position.  ``sequence(1, 0)`` counts down, so every n is guarded by the array size.
     """
-    t = _col(tokens)
+    if not isinstance(tokens, str):
+        raise TypeError("ngrams takes the name of a token column")
+    t = F.col(tokens)
     lo, hi = ngram_range
     parts = []
     for n in range(lo, hi + 1):

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_MAX_CLASSES = 10_000
-
 
 def class_table(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
     """Per class ``c``: ``support`` (true c), ``predicted`` (predicted c) and ``tp``."""
@@ -57,19 +55,21 @@ def classification_metrics(df: DataFrame, label_col: str = "label", pred_col: st
 
 
 def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
-                     classes=(0, 1)) -> DataFrame:
-    """M7: rows = true class, one ``pred_<c>`` column per predicted class, zero-filled."""
+                     classes=None) -> DataFrame:
+    """M7: one row per class that is true or predicted, one ``pred_<c>`` column per class, zero-filled.
+
+    Without ``classes`` they are found first (one aggregate; as many values as classes reach the driver).
+    A null label or prediction belongs to no class."""
     counts = df.groupBy(F.col(label_col).cast("int").alias("label"),
                         F.col(pred_col).cast("int").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    aggs = [F.sum(F.when(F.col("_p") == c, F.col("_n")).otherwise(0)).cast("long").alias(f"pred_{c}")
+    both = counts.select(F.explode(F.array("label", "_p")).alias("label")).where(F.col("label").isNotNull()).distinct()
+    if classes is None:
+        classes = sorted(r[0] for r in both.collect())
+    aggs = [F.coalesce(F.sum(F.when(F.col("_p") == c, F.col("_n"))), F.lit(0)).cast("long").alias(f"pred_{c}")
             for c in classes]
-    return counts.groupBy("label").agg(*aggs)
-
-
-def confusion_long(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
-    """M7 in long form ``(label, prediction, count)`` for any number of classes."""
-    return df.groupBy(F.col(label_col).cast("int").alias("label"),
-                      F.col(pred_col).cast("int").alias("prediction")).agg(F.count(F.lit(1)).alias("count"))
+    if not aggs:
+        return both
+    return both.join(counts, "label", "left").groupBy("label").agg(*aggs)
 
 
 def classification_report(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",

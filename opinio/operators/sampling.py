@@ -17,7 +17,7 @@ Scale design (one class may hold a third of all rows):
 from __future__ import annotations
 
 import math
-from typing import Optional, Sequence
+from typing import Optional
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,7 +75,7 @@ def split_quotas(class_counts: dict, options: SplitOptions = SplitOptions()) ->
     if len(class_counts) > _MAX_CLASSES:
         raise ValueError("too many classes for a stratified split")
     if min(class_counts.values()) < 2:
-        raise ValueError("The least populated class in y has only 1 member, which is too few.")
+        raise ValueError("every class needs at least two rows to be split")
 
     def step(counts: dict, frac: float):
         n = sum(counts.values())
@@ -156,18 +156,13 @@ def assign_folds(df: DataFrame, label_col: str, id_col: str, k: int = 5, seed: i
     return ranked.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
 
 
-def sample_n(df: DataFrame, n: Optional[int], id_col: str, seed: int = 42,
-             top_k_limit: int = 100_000, digits: int = 3) -> DataFrame:
+def sample_n(df: DataFrame, n: Optional[int], id_col: str, seed: int = 42, digits: int = 3) -> DataFrame:
     """A1: exactly ``min(n, rows)`` rows, the smallest by ``(md5(id|seed), id)``; None / 0 = all rows.
 
-    Modest ``n`` uses a distributed top-k (TakeOrderedAndProject).  Large ``n`` cuts by bucket:
-    whole buckets below the cut pass a broadcast filter, and only the one boundary bucket is ranked.
+    Whole buckets below the cut pass a broadcast filter; only the rows of the one boundary bucket are ranked.
     """
     if not n:
         return df
-    if n <= top_k_limit:
-        return (df.withColumn("_key", order_key(id_col, seed))
-                  .orderBy("_key", id_col).limit(n).drop("_key"))
     keyed = _keyed(df, id_col, seed, digits)
     buckets = _bucket_table(keyed.select("_bucket"), None).withColumn("_bend", F.col("_bstart") + F.col("_bn"))
     # At most 16**digits rows, broadcast.
@@ -178,8 +173,3 @@ def sample_n(df: DataFrame, n: Optional[int], id_col: str, seed: int = 42,
     edge = (tagged.where(F.col("_bend") > n)
             .withColumn("_r", F.col("_bstart") + F.row_number().over(w)).where(F.col("_r") <= n))
     return inner.select(*df.columns).unionByName(edge.select(*df.columns))
-
-
-def split_by_label(df: DataFrame, split_col: str = "split", splits: Sequence[str] = ("train", "val", "test")):
-    """Views of one split-tagged table, e.g. ``train, val, test = split_by_label(df)``."""
-    return tuple(df.where(F.col(split_col) == s) for s in splits)

@@ -44,7 +44,7 @@ def with_feature_terms(df: DataFrame, text_col: str, options: FeatureOptions, st
         stops = list(stop_words)
         tokens = F.filter(tokens, lambda t: ~F.lower(t).isin(stops))
     staged = df.withColumn("_tok", tokens)
-    return staged.withColumn(out_col, ngrams(F.col("_tok"), tuple(options.ngram_range))).drop("_tok")
+    return staged.withColumn(out_col, ngrams("_tok", tuple(options.ngram_range))).drop("_tok")
 
 
 def doc_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

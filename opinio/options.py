@@ -54,6 +54,7 @@ class TrainOptions:
     lr_c: tuple[float, ...] = (0.1, 1.0, 10.0)
     lr_max_iter: int = 1000
     svm_c: tuple[float, ...] = (0.1, 1.0, 10.0)
+    svm_max_iter: int = 10_000  # far beyond what the tolerance needs; reaching it is recorded
     svm_kernels: tuple[str, ...] = ("linear", "rbf")
     svm_gammas: tuple[str, ...] = ("scale", "auto")
     rff_components: int = 512

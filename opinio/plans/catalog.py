@@ -48,7 +48,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents ⋈ labels through the load contract (P1-P4): text -> review, quality -> sentiment."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     labels = table(spark, sf_dir, "labels").withColumnRenamed("quality", "label")
     return rv.prepare_reviews(docs.join(labels, "doc_id"))
 
@@ -213,8 +213,8 @@ def q_tokenize_ws(spark, sf_dir):
 def q_bigrams(spark, sf_dir):
     """F3 (n = 2 only) over cleaned conversation turns."""
     conv = table(spark, sf_dir, "conversations")
-    return conv.select("conv_id", "turn",
-                       F.array_join(tx.ngrams(tx.clean_tokens("text"), (2, 2)), "|").alias("bigrams"))
+    staged = conv.select("conv_id", "turn", tx.clean_tokens("text").alias("tokens"))
+    return staged.select("conv_id", "turn", F.array_join(tx.ngrams("tokens", (2, 2)), "|").alias("bigrams"))
 
 
 # --- A: sampling, splitting, profiles --------------------------------------------------------
@@ -239,8 +239,8 @@ def q_sample_n(spark, sf_dir):
        f"WITH {REVIEWS_SQL} SELECT doc_id, sentiment FROM reviews "
        f"ORDER BY {sq.order_key('doc_id', 7)}, doc_id LIMIT 250")
 def q_sample_n_large(spark, sf_dir):
-    """A1 through the bucket-cut path used for large n (forced by a zero top-k limit)."""
-    return sm.sample_n(reviews(spark, sf_dir), 250, "doc_id", 7, top_k_limit=0).select("doc_id", "sentiment")
+    """A1: another seed and size."""
+    return sm.sample_n(reviews(spark, sf_dir), 250, "doc_id", 7).select("doc_id", "sentiment")
 
 
 @query("stratified_split", f"WITH {SPLIT_SQL} SELECT doc_id, sentiment, split FROM split_rows")
@@ -418,7 +418,7 @@ def q_label_decode(spark, sf_dir):
        "UNION ALL SELECT term, pos_docs, neg_docs, round(log_odds, 9) AS log_odds, rank, direction FROM n WHERE rank <= 20")
 def q_term_polarity_topk(spark, sf_dir):
     """K2 in SQL form: top-20 terms by smoothed log-odds in each direction."""
-    cleaned = spread(reviews(spark, sf_dir)).withColumn("tokens", tx.clean_tokens("review"))
+    cleaned = reviews(spark, sf_dir).withColumn("tokens", tx.clean_tokens("review"))
     pol = vc.term_polarity(cleaned, "doc_id", "tokens", "sentiment")
     top = vc.polarity_topk(pol, 20)
     return top.select("term", "pos_docs", "neg_docs", F.round("log_odds", 9).alias("log_odds"), "rank", "direction")
@@ -446,8 +446,10 @@ def q_classification_metrics(spark, sf_dir):
 
 
 @query("confusion_matrix",
-       "SELECT CAST(quality AS INTEGER) AS label, CAST(count(*) FILTER (WHERE toxic = 0) AS BIGINT) AS pred_0, "
-       "CAST(count(*) FILTER (WHERE toxic = 1) AS BIGINT) AS pred_1 FROM labels GROUP BY quality")
+       "WITH c AS (SELECT quality AS cls FROM labels UNION SELECT toxic FROM labels) "
+       "SELECT CAST(cls AS INTEGER) AS label, CAST(count(*) FILTER (WHERE toxic = 0) AS BIGINT) AS pred_0, "
+       "CAST(count(*) FILTER (WHERE toxic = 1) AS BIGINT) AS pred_1 FROM c LEFT JOIN labels ON quality = cls "
+       "WHERE cls IS NOT NULL GROUP BY cls")
 def q_confusion_matrix(spark, sf_dir):
     """M7."""
     return mx.confusion_matrix(table(spark, sf_dir, "labels"), "quality", "toxic")

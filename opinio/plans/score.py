@@ -25,17 +25,20 @@ OUTPUT_COLUMNS = ("prediction", "sentiment", "confidence", "prob_negative", "pro
 def score(model: PipelineModel, data: DataFrame, text_col: str = "review",
           return_probabilities: bool = True) -> DataFrame:
     """Input columns + prediction, sentiment name, confidence (max probability), class
-    probabilities, status and the scoring time."""
+    probabilities, status and the scoring time.  An input ``sentiment`` becomes ``label``, or ``input_sentiment``
+    where there is a ``label`` too; input columns named like another output are replaced."""
     require_columns(data, text_col)
-    df = data.withColumnRenamed("sentiment", "label") if "sentiment" in data.columns else data
-    if text_col != "review":
-        df = df.withColumn("review", F.col(text_col)) if "review" not in df.columns else df
-    in_cols = df.columns
-    out = model.transform(df)
+    # The input rides along in one struct, so none of its columns can clash with a stage's.
+    names = {"sentiment": "label" if "label" not in data.columns else "input_sentiment"}
+    made = {*OUTPUT_COLUMNS} - {"sentiment"}
+    kept = [(c, names.get(c, c)) for c in data.columns if c not in made]
+    work = data.select(F.struct(*[F.col(f"`{c}`").alias(n) for c, n in kept]).alias("_in"),
+                       F.col(text_col).alias("review"))
+    out = model.transform(work)
     processed = "review_processed"
     empty = F.length(F.col(processed)) == 0
     pred = F.when(empty, F.lit(None).cast("int")).otherwise(F.col("prediction").cast("int"))
-    cols = [F.col(c) for c in in_cols] + [pred.alias("prediction")]
+    cols = [F.col("_in.*"), pred.alias("prediction")]
     cols.append(F.when(empty, F.lit(None).cast("string")).otherwise(sentiment_name(F.col("prediction"))).alias("sentiment"))
     if return_probabilities and "probability" in out.columns:
         probs = vector_to_array("probability")
@@ -59,8 +62,6 @@ def score_file(spark: SparkSession, model: PipelineModel, input_path: str, outpu
     """Read (csv / json by suffix) -> score -> write; ``records_per_file`` bounds output files."""
     df = read_records(spark, input_path)
     if text_col not in df.columns:
-        raise ValueError(f"Column '{text_col}' not found in input file")
+        raise ValueError(f"the input has no column {text_col!r}; it has {df.columns}")
     out = score(model, df, text_col)
-    if records_per_file:
-        spark.conf.set("spark.sql.files.maxRecordsPerFile", str(records_per_file))
-    return write_predictions(out, output_path, output_format)
+    return write_predictions(out, output_path, output_format, records_per_file)

@@ -14,8 +14,7 @@ from __future__ import annotations
 
 import json
 import time
-import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 from typing import Optional
 
 from pyspark import StorageLevel
@@ -39,8 +38,6 @@ MAX_RF_DEPTH = 30  # Spark's limit stands in for "no limit"
 # The reference estimators' default stopping tolerances.
 LR_TOL = 1e-4
 SVM_TOL = 1e-3
-# Spark's own LinearSVC default: the reference SVC has no iteration cap that maps onto OWLQN's.
-SVM_MAX_ITER = 100
 
 
 @dataclass
@@ -83,7 +80,7 @@ def model_grid(name: str, options: TrainOptions, n_fit: float):
         grid = ParamGridBuilder().addGrid(est.regParam, [1.0 / (c * n_fit) for c in options.lr_c]).build()
         return est, grid
     if name == "svm":
-        est = LinearSVC(featuresCol="features", labelCol="label", maxIter=SVM_MAX_ITER, standardization=False,
+        est = LinearSVC(featuresCol="features", labelCol="label", maxIter=options.svm_max_iter, standardization=False,
                         rawPredictionCol="svm_raw", tol=SVM_TOL)
         grid = ParamGridBuilder().addGrid(est.regParam, [1.0 / (c * n_fit) for c in options.svm_c]).build()
         return est, grid
@@ -94,7 +91,7 @@ def model_grid(name: str, options: TrainOptions, n_fit: float):
         grid = (ParamGridBuilder().addGrid(est.numTrees, list(options.rf_trees)).addGrid(est.maxDepth, depths)
                 .addGrid(est.minInstancesPerNode, list(options.rf_min_leaf)).build())
         return est, grid
-    raise ValueError(f"Unknown model: {name}")
+    raise ValueError(f"no model is called {name!r}")
 
 
 def _param_dict(pm) -> dict:
@@ -270,10 +267,12 @@ def prepare(spark: SparkSession, reviews: DataFrame, options: TrainOptions, id_c
 
 def train(spark: SparkSession, reviews: DataFrame, options: TrainOptions = TrainOptions(),
           id_col: str = "doc_id", label_col: str = "sentiment", text_col: str = "review",
-          runs_path: Optional[str] = None, prepared: Optional[tuple] = None) -> TrainResult:
+          runs_path: Optional[str] = None, prepared: Optional[tuple] = None,
+          fitted: Optional[dict] = None) -> TrainResult:
     """Every configured model; failures are recorded, not swallowed; best by validation
     weighted F1 (strictly greater, first model wins ties — K3); test metrics for the best.
-    ``prepared`` reuses the output of ``prepare`` made with the same split / feature options."""
+    ``prepared`` reuses the output of ``prepare`` made with the same split / feature options, ``fitted`` the
+    models already searched on it."""
     splits, fmodel, train_f, others = prepared or prepare(spark, reviews, options, id_col, label_col, text_col)
     n_train = train_f.count()
     val_f = others.where(F.col("split") == "val")
@@ -283,9 +282,13 @@ def train(spark: SparkSession, reviews: DataFrame, options: TrainOptions = Train
     for name in options.models:
         t0 = time.time()
         try:
-            model, cv_f1, params = fit_model(name, options, train_f, n_train)
+            if fitted and name in fitted:
+                model, cv_f1, params, seconds = fitted[name]
+            else:
+                model, cv_f1, params = fit_model(name, options, train_f, n_train)
+                seconds = time.time() - t0
             val = evaluate(model, val_f)
-            res = ModelResult(name, "ok", cv_f1, params, val, time.time() - t0, model)
+            res = ModelResult(name, "ok", cv_f1, params, val, seconds, model)
         except Exception as ex:  # noqa: BLE001 - recorded in the run log and the leaderboard
             res = ModelResult(name, "failed", training_time=time.time() - t0, error=f"{type(ex).__name__}: {ex}")
         results[name] = res
@@ -354,14 +357,6 @@ def feature_importance(spark: SparkSession, feature_model: PipelineModel, classi
     return pos.unionByName(neg)
 
 
-def options_dict(options: TrainOptions) -> dict:
-    return asdict(options)
-
-
-def new_run_id() -> str:
-    return uuid.uuid4().hex
-
-
 def quick_training(spark: SparkSession, reviews: DataFrame, options: TrainOptions = TrainOptions(), **kw) -> TrainResult:
     """The quick variant — 1000 sampled rows."""
     from dataclasses import replace

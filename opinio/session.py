@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": os.environ.get("OPINIO_DRIVER_MEMORY", "16g"),
+        "spark.driver.memory": os.environ.get("OPINIO_DRIVER_MEMORY", "8g"),
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -37,8 +38,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a distributed file system path).  Only when it
-    is unset — local tests — a private temporary folder is created and registered.
+    On a cluster this must be set by the deployment (a distributed file system path); without it a
+    session that is not local is refused.  A local session gets a private temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -47,6 +48,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not re.match(r"local(\[[^]]*\])?$", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="opinio-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:
@@ -62,12 +66,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/opinio-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a scan that yields fewer partitions than the cluster's default parallelism
-    (e.g. one large file with a single row group), so per-row text work uses every core.
-    Inputs that already split into enough partitions — any large dataset — pass through unchanged,
-    so at scale this adds no shuffle."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def spread(scan):
+    """Deal out a plain table scan that has fewer partitions than the session has cores (one file with one row
+    group), so per-row text work uses all of them.  Only for scans: their partitions are known from the file
+    listing, no job runs.  A table of many files passes through without a shuffle."""
+    target = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(target) if scan.rdd.getNumPartitions() < target else scan

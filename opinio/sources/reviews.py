@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Iterable, Optional, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,7 @@ def normalize_columns(df: DataFrame, text_aliases: Sequence[str] = TEXT_ALIASES,
             continue
         found = next((a for a in aliases[1:] if a in df.columns), None)
         if found is None:
-            raise ValueError(f"Could not find {target} column. Expected one of {list(aliases)}")
+            raise ValueError(f"no {target} column: none of {list(aliases)} in {df.columns}")
         df = df.withColumnRenamed(found, target)
     return df
 
@@ -87,8 +87,17 @@ def read_csv(spark: SparkSession, paths, schema: Optional[T.StructType] = None)
 
 def read_reviews_csv(spark: SparkSession, paths, schema: Optional[T.StructType] = None,
                      on_bad_label: str = "error") -> DataFrame:
-    """CSV review scan with the P1-P4 contract."""
-    return prepare_reviews(read_csv(spark, paths, schema), on_bad_label)
+    """CSV review scan with the P1-P4 contract.
+
+    A label column that holds numbers only is numeric, as a typed reader would have it (one aggregate over that
+    column); any other is text."""
+    df = normalize_columns(read_csv(spark, paths, schema))
+    if isinstance(df.schema["sentiment"].dataType, T.StringType):
+        number = F.expr("try_cast(sentiment AS double)")
+        words = df.where(F.col("sentiment").isNotNull() & number.isNull()).limit(1).count()
+        if not words:
+            df = df.withColumn("sentiment", number)
+    return prepare_reviews(df, on_bad_label)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -99,6 +108,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.getFileStatus(hpath).isFile())
+
+
 def resolve_source(spark: SparkSession, candidates: Sequence[str]) -> Optional[str]:
     """The first existing path of the candidates, in order; None if none exists."""
     return next((p for p in candidates if path_exists(spark, p)), None)
@@ -144,7 +160,7 @@ def read_records(spark: SparkSession, path: str, schema: Optional[T.StructType]
         return reader.json(path)
     if lower.endswith(".parquet"):
         return spark.read.parquet(path)
-    raise ValueError("Input file must be CSV or JSON")
+    raise ValueError(f"cannot tell the format of {path!r} by its suffix")
 
 
 def to_review_frame(spark: SparkSession, data, text_col: str = "review") -> DataFrame:
@@ -156,7 +172,7 @@ def to_review_frame(spark: SparkSession, data, text_col: str = "review") -> Data
     if isinstance(data, (list, tuple)):
         rows = [(i, t) for i, t in enumerate(data)]
         return spark.createDataFrame(rows, f"review_id long, {text_col} string")
-    raise ValueError("Input must be string, list of strings, or DataFrame")
+    raise ValueError(f"texts must be a str, a list of str or a DataFrame, not {type(data).__name__}")
 
 
 def write_splits(df: DataFrame, path: str, fmt: str = "parquet", split_col: str = "split") -> str:
@@ -177,15 +193,20 @@ def read_splits(spark: SparkSession, path: str, splits: Sequence[str] = SPLITS,
     return reader.load(path).where(F.col("split").isin(*splits))
 
 
-def write_predictions(df: DataFrame, path: str, fmt: str = "csv") -> str:
-    """Csv / json / parquet ("pickle" maps to parquet); unknown formats raise."""
+def write_predictions(df, path: str, fmt: str = "csv", records_per_file: Optional[int] = None) -> str:
+    """Csv / json / parquet ("pickle" maps to parquet); unknown formats raise.  ``df`` is a DataFrame or a
+    list of row dictionaries."""
+    if isinstance(df, (list, tuple)):
+        df = SparkSession.active().createDataFrame([Row(**r) for r in df])
     fmt = fmt.lower()
     if fmt == "pickle":
         fmt = "parquet"
     if fmt not in ("csv", "json", "parquet"):
-        raise ValueError(f"Unsupported format: {fmt}")
+        raise ValueError(f"cannot write {fmt!r}; use csv, json or parquet")
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.options(**CSV_WRITE_OPTIONS)
+    if records_per_file:
+        writer = writer.option("maxRecordsPerFile", records_per_file)
     writer.save(path)
     return path

@@ -61,7 +61,10 @@ def wasserstein(tagged: DataFrame, col: str) -> DataFrame:
 
 def drift_report(df: DataFrame, ts_col: str, id_col: str, categorical=(), numeric=(), reference: int = 1000,
                  current: int = 500, threshold: float = 0.1, digits: int = 9) -> DataFrame:
-    tagged = drift_windows(df, ts_col, id_col, reference, current)
+    tagged = drift_windows(df.select(ts_col, id_col, *dict.fromkeys([*categorical, *numeric])), ts_col, id_col,
+                           reference, current)
+    # At most reference + current narrow rows: taken once, reused by every feature.
+    tagged = df.sparkSession.createDataFrame(tagged.collect(), tagged.schema)
     parts = [js_distance(tagged, c) for c in categorical] + [wasserstein(tagged, c) for c in numeric]
     out = parts[0]
     for p in parts[1:]:

@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinio.plans.score import score
+from opinio.sources.reviews import is_file
 
 
 def read_table_stream(spark: SparkSession, path: str, schema: Optional[T.StructType] = None,
                       max_files_per_trigger: Optional[int] = None) -> DataFrame:
-    """A parquet stream over ``path`` — a directory, or one file selected by name within its directory."""
-    if path.endswith(".parquet") and not path.endswith("/"):
+    """A parquet stream over ``path`` — a table directory, or one file selected by name within its directory.
+    The file system tells which it is, not the name."""
+    if is_file(spark, path):
         directory, name = os.path.dirname(path), os.path.basename(path)
     else:
         directory, name = path, None

@@ -60,10 +60,10 @@ def test_folds_stratified(spark):
         assert max(vals) - min(vals) <= 1
 
 
-def test_sample_n_both_paths(spark):
+def test_sample_n_is_the_smallest_keys(spark):
     df = _labels(spark)
-    small = {r.doc_id for r in sm.sample_n(df, 123, "doc_id", 3).collect()}
-    large = {r.doc_id for r in sm.sample_n(df, 123, "doc_id", 3, top_k_limit=0).collect()}
-    assert small == large and len(small) == 123
+    order = df.select("doc_id", sm.order_key("doc_id", 3).alias("k")).orderBy("k", "doc_id").collect()
+    for n in (1, 123, df.count()):
+        assert {r.doc_id for r in sm.sample_n(df, n, "doc_id", 3).collect()} == {r.doc_id for r in order[:n]}
     assert sm.sample_n(df, None, "doc_id").count() == df.count()
-    assert sm.sample_n(df, 10_000, "doc_id", top_k_limit=0).count() == df.count()
+    assert sm.sample_n(df, 10_000, "doc_id").count() == df.count()
