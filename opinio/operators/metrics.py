@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinio.session import scratch_path
+
 
 def class_table(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
     """Per class ``c``: ``support`` (true c), ``predicted`` (predicted c) and ``tp``."""
@@ -98,23 +100,22 @@ def classification_report(df: DataFrame, label_col: str = "label", pred_col: str
     return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
-def roc_auc(df: DataFrame, label_col: str = "label", score_col: str = "score", buckets: int = 4096,
+def roc_auc(df: DataFrame, label_col: str = "label", score_col: str = "score", buckets: int = 64,
             digits: int = 9) -> DataFrame:
     """M6: exact ROC-AUC with tied scores counted one half.
 
     ``AUC = sum over positives of (negatives scored lower + 0.5 * negatives scored equal) / (P * N)``.
-    Scores are first aggregated to ``(score, pos, neg)``; that table is split into equal-width score
-    buckets between the observed min and max; negatives below each score = negatives in earlier
-    buckets (small offset table) + a running sum inside the bucket (window partitioned by bucket).
+    Scores are first aggregated to ``(score, pos, neg)``; that table is written once in ranges of equal size by
+    score, wherever the scores crowd; negatives below each score = negatives in earlier ranges (small offset
+    table) + a running sum inside the range.
     """
     agg = (df.where(F.col(score_col).isNotNull())
            .groupBy(F.col(score_col).cast("double").alias("s"))
-           .agg(F.count_if(F.col(label_col) == 1).alias("pos"), F.count_if(F.col(label_col) != 1).alias("neg")))
-    lo = agg.select(F.min("s")).scalar()
-    hi = agg.select(F.max("s")).scalar()
-    width = F.when(hi > lo, (hi - lo) / F.lit(float(buckets))).otherwise(F.lit(1.0))
-    b = F.least(F.floor((F.col("s") - lo) / width), F.lit(buckets - 1)).cast("int")
-    agg = agg.withColumn("_b", b)
+           .agg(F.count_if(F.col(label_col) == 1).alias("pos"), F.count_if(F.col(label_col) != 1).alias("neg"))
+           .repartitionByRange(buckets, "s").withColumn("_b", F.spark_partition_id()))
+    path = scratch_path(df.sparkSession, "ranges")
+    agg.write.parquet(path)
+    agg = df.sparkSession.read.schema(agg.schema).parquet(path)
     totals = agg.groupBy("_b").agg(F.sum("neg").alias("_bneg"))
     wo = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_bneg").over(wo), F.lit(0))).drop("_bneg")

@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinio.options import SplitOptions
+from opinio.session import scratch_path
 
-_MAX_CLASSES = 100_000
 _MAX_BUCKET_DIGITS = 4
 
 
@@ -72,8 +72,6 @@ def split_quotas(class_counts: dict, options: SplitOptions = SplitOptions()) ->
     Step 1: n_test = ceil(test_size * n); train share by largest remainder; test = complement.
     Step 2 on the remainder with val_size / (1 - test_size).
     """
-    if len(class_counts) > _MAX_CLASSES:
-        raise ValueError("too many classes for a stratified split")
     if min(class_counts.values()) < 2:
         raise ValueError("every class needs at least two rows to be split")
 
@@ -91,46 +89,64 @@ def split_quotas(class_counts: dict, options: SplitOptions = SplitOptions()) ->
     return {k: (test[k], val[k], train[k]) for k in class_counts}
 
 
-def _class_counts(df: DataFrame, label_col: str) -> dict:
-    rows = df.groupBy(label_col).count().limit(_MAX_CLASSES + 1).collect()
-    if any(r[0] is None for r in rows):
-        raise ValueError("null label in stratified split")
-    return {r[0]: r[1] for r in rows}
+def _cut_keys(narrow: DataFrame, cells: dict, label_col: str, id_col: str, quotas: dict) -> list[tuple]:
+    """Per class the (key, id) of the last test row and of the last val row, in one job over the boundary buckets.
+
+    ``cells`` holds the rows per (class, bucket); a cut falls into one bucket of its class, and only the rows of
+    these buckets are ranked, each bucket by its own task.  Two rows per class come back."""
+    wanted = []
+    for label, (n_test, n_val, _) in quotas.items():
+        for cut, rank in ((0, n_test), (1, n_test + n_val)):
+            start = 0
+            for bucket in sorted(cells[label]):
+                if start < rank <= start + cells[label][bucket]:
+                    wanted.append((label, bucket, cut, rank - start))
+                    break
+                start += cells[label][bucket]
+    if not wanted:
+        return []
+    kind = narrow.schema[label_col].dataType.simpleString()
+    cuts = narrow.sparkSession.createDataFrame(wanted, f"{label_col} {kind}, _bucket string, _cut int, _at long")
+    w = Window.partitionBy(label_col, "_bucket", "_cut").orderBy("_key", id_col)
+    found = (narrow.join(F.broadcast(cuts), [label_col, "_bucket"]).withColumn("_r", F.row_number().over(w))
+             .where(F.col("_r") == F.col("_at")))
+    return [tuple(r) for r in found.select(label_col, "_cut", "_key", id_col).collect()]
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str,
                      options: SplitOptions = SplitOptions(), split_col: str = "split") -> DataFrame:
     """A2: adds ``split`` in {train, val, test}.  Exact quotas per class; the rank of a row in its
     class is by ``(md5(id|seed), id)``: the first ``n_test`` rows go to test, the next ``n_val``
-    to val, the rest to train."""
-    digits = options.bucket_hex_digits
-    keyed = _keyed(df, id_col, options.seed, digits)
-    quotas = split_quotas(_class_counts(df, label_col), options)
+    to val, the rest to train.
+
+    One pass writes the narrow ``(id, label, key)`` table; its bucket counts (classes x buckets values) give the
+    quotas, and the two boundary keys of each class follow from the boundary buckets.  The rows themselves are
+    then read once and compared with their class's keys: no shuffle, no window over texts."""
     spark = df.sparkSession
-    label_type = df.schema[label_col].dataType.simpleString()
-    quota_df = spark.createDataFrame(
-        [(k, q[0], q[1]) for k, q in quotas.items()], f"{label_col} {label_type}, _qt long, _qv long")
-    buckets = (_bucket_table(keyed.select(label_col, "_bucket"), label_col)
-               .join(F.broadcast(quota_df), label_col)
-               .withColumn("_bend", F.col("_bstart") + F.col("_bn")))
-    # A bucket is a boundary bucket when a split threshold falls strictly inside it.
-    cut1, cut2 = F.col("_qt"), F.col("_qt") + F.col("_qv")
-    buckets = buckets.withColumn(
-        "_edge",
-        ((F.col("_bstart") < cut1) & (F.col("_bend") > cut1))
-        | ((F.col("_bstart") < cut2) & (F.col("_bend") > cut2)))
-    tagged = keyed.join(F.broadcast(buckets), [label_col, "_bucket"])
-
-    def by_rank(rank: Column) -> Column:
-        return (F.when(rank <= cut1, F.lit("test")).when(rank <= cut2, F.lit("val"))
-                .otherwise(F.lit("train")))
-
-    inner = tagged.where(~F.col("_edge")).withColumn(split_col, by_rank(F.col("_bend")))
-    w = Window.partitionBy(label_col, "_bucket").orderBy("_key", id_col)
-    edge = (tagged.where(F.col("_edge"))
-            .withColumn(split_col, by_rank(F.col("_bstart") + F.row_number().over(w))))
-    out_cols = df.columns + [split_col]
-    return inner.select(*out_cols).unionByName(edge.select(*out_cols))
+    keyed = _keyed(df.select(label_col, id_col), id_col, options.seed, options.bucket_hex_digits)
+    path = scratch_path(spark, "split-keys")
+    keyed.write.parquet(path)
+    narrow = spark.read.schema(keyed.schema).parquet(path)
+    cells: dict = {}
+    for label, bucket, n in narrow.groupBy(label_col, "_bucket").count().collect():
+        cells.setdefault(label, {})[bucket] = n
+    if None in cells:
+        raise ValueError("null label in stratified split")
+    quotas = split_quotas({k: sum(v.values()) for k, v in cells.items()}, options)
+    last = {(label, cut): (key, i) for label, cut, key, i in _cut_keys(narrow, cells, label_col, id_col, quotas)}
+    kinds = {c: df.schema[c].dataType.simpleString() for c in (label_col, id_col)}
+    table = spark.createDataFrame(
+        [(k, *last.get((k, 0), ("", None)), *last.get((k, 1), ("", None))) for k in quotas],
+        f"_l {kinds[label_col]}, _k0 string, _i0 {kinds[id_col]}, _k1 string, _i1 {kinds[id_col]}")
+    key = order_key(id_col, options.seed)
+
+    def upto(n: int) -> Column:
+        return (key < F.col(f"_k{n}")) | ((key == F.col(f"_k{n}")) & (F.col(id_col) <= F.col(f"_i{n}")))
+
+    split = F.when(upto(0), F.lit("test")).when(upto(1), F.lit("val")).otherwise(F.lit("train"))
+    # One row per class.
+    return (df.join(F.broadcast(table), F.col(label_col) == F.col("_l")).withColumn(split_col, split)
+            .select(*df.columns, split_col))
 
 
 def class_rank(df: DataFrame, label_col: Optional[str], id_col: str, seed: int,

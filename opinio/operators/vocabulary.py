@@ -2,32 +2,25 @@
 
 Plan shape:
 
-* one exchange of the cleaned token arrays by document id; per-document term counts and the
-  per-document L2 norm then run without another exchange (the hash partitioning on the id
-  satisfies both);
-* document frequencies: ``groupBy(term)`` with map-side partial aggregation, so a term present in
-  a third of all documents still arrives as one partial row per task; the exchanged texts are
-  persisted for the fit, which reads them twice (document count and term statistics);
-* the fitted vocabulary is bounded by ``max_features`` and is broadcast into the transform; with no
-  bound, the join is left to the planner (sort-merge / AQE).
+* fit: every document gives its terms, its distinct terms and itself as rows; one ``groupBy(term)`` with
+  map-side partial aggregation counts them all, so a term of a third of all documents arrives as one partial row
+  per task, and no text moves;
+* transform: terms outside the vocabulary are dropped right after the explode, the rest are counted per
+  document before they move.  The vocabulary is a table; Spark broadcasts it where it measures it as small.
 """
 
 from __future__ import annotations
 
-from dataclasses import replace
 from numbers import Integral
 from typing import Optional, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinio.functions.stopwords import ENGLISH_STOP_WORDS
 from opinio.functions.text import ngrams, vector_tokens
 from opinio.options import FeatureOptions
-
-BROADCAST_VOCAB_LIMIT = 2_000_000
-
+from opinio.session import scratch_path
 
 def resolve_stop_words(spark: SparkSession, options: FeatureOptions) -> tuple[str, ...]:
     return ENGLISH_STOP_WORDS if options.stop_words is None else tuple(options.stop_words)
@@ -47,39 +40,37 @@ def with_feature_terms(df: DataFrame, text_col: str, options: FeatureOptions, st
     return staged.withColumn(out_col, ngrams("_tok", tuple(options.ngram_range))).drop("_tok")
 
 
-def doc_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The one exchange: (cleaned) text by document id, its smallest form."""
-    return df.select(id_col, text_col).repartition(id_col)
-
+def doc_term_counts(df: DataFrame, id_col: str, text_col: str, options: FeatureOptions,
+                    stop_words: Sequence[str], vocab: DataFrame) -> DataFrame:
+    """``(id, term, idf, idx, tf)`` of the vocabulary's terms — raw counts, or 1 when ``options.binary``.
 
-def doc_term_counts(texts: DataFrame, id_col: str, text_col: str, options: FeatureOptions,
-                    stop_words: Sequence[str], vocab: Optional[DataFrame] = None,
-                    vocab_bound: Optional[int] = None) -> DataFrame:
-    """``(id, term, tf)`` from ``doc_texts`` output — raw counts, or 1 when ``options.binary``.
-
-    Tokens, n-grams, per-document counts and per-document norms run after the exchange by id without
-    another one.  ``explode_outer`` + a null filter: a plain ``explode`` makes the optimizer infer a
-    ``size(terms) > 0`` filter and push it (with the n-gram expression inlined) below the exchange.
-    With ``vocab`` given, unseen terms are dropped right after the explode, before any aggregation.
+    Unseen terms are dropped right after the explode, and a document's terms are counted before they move, as it
+    lies in one partition: what is shuffled is one narrow row per document and known term.
+    ``explode_outer`` + a null filter: a plain ``explode`` makes the optimizer infer a ``size(terms) > 0``
+    filter and push it with the n-gram expression inlined.
     """
-    terms = with_feature_terms(texts, text_col, options, stop_words)
+    terms = with_feature_terms(df.select(id_col, text_col), text_col, options, stop_words)
     exploded = terms.select(id_col, F.explode_outer("_terms").alias("term")).where(F.col("term").isNotNull())
-    keys = [id_col, "term"]
-    if vocab is not None:
-        # Unseen terms are dropped right after the explode; idf and index ride along as grouping keys.
-        exploded = exploded.join(_maybe_broadcast(vocab.select("term", "idf", "idx"), vocab_bound), "term")
-        keys += ["idf", "idx"]
-    counts = exploded.groupBy(*keys).agg(F.count(F.lit(1)).alias("tf"))
+    known = exploded.join(vocab.select("term", "idf", "idx"), "term")
+    counts = known.groupBy(id_col, "term", "idf", "idx").agg(F.count(F.lit(1)).alias("tf"))
     if options.binary:
         counts = counts.withColumn("tf", F.lit(1).cast("long"))
     return counts
 
 
-def _maybe_broadcast(vocab: DataFrame, bound: Optional[int]) -> DataFrame:
-    """The vocabulary is broadcast only when its size is bounded (by ``max_features``)."""
-    if bound is not None and bound <= BROADCAST_VOCAB_LIMIT:
-        return F.broadcast(vocab)
-    return vocab
+def term_stats(df: DataFrame, text_col: str, options: FeatureOptions, stop_words: Sequence[str]) -> DataFrame:
+    """``(term, df, cf)`` and, under the null term, the number of documents as ``df``: one pass, one shuffle of
+    partial counts.  Each document contributes its terms, its distinct terms and itself, row by row."""
+    terms = with_feature_terms(df.select(text_col), text_col, options, stop_words)
+
+    def part(t, in_df: int, in_cf: int):
+        return F.struct(t.alias("term"), F.lit(in_df).cast("long").alias("df"), F.lit(in_cf).cast("long").alias("cf"))
+
+    uses = F.array_distinct("_terms") if options.binary else F.col("_terms")
+    parts = F.concat(F.transform(uses, lambda t: part(t, 0, 1)),
+                     F.transform(F.array_distinct("_terms"), lambda t: part(t, 1, 0)),
+                     F.array(part(F.lit(None).cast("string"), 1, 0)))
+    return terms.select(F.inline(parts)).groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
 def _doc_count_limit(value, n_docs: Column) -> Column:
@@ -89,17 +80,22 @@ def _doc_count_limit(value, n_docs: Column) -> Column:
     return F.lit(float(value)) * n_docs
 
 
-def prefix_index(df: DataFrame, col: str, index_col: str = "idx") -> DataFrame:
-    """0-based position of each row by ``col`` ascending without a single-task window: rows are
-    bucketed by the first two characters, bucket offsets come from a small table."""
-    keyed = df.withColumn("_p", F.substring(col, 1, 2))
-    counts = keyed.groupBy("_p").agg(F.count(F.lit(1)).alias("_pn"))
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_pn").over(w), F.lit(0))).drop("_pn")
-    wi = Window.partitionBy("_p").orderBy(col)
-    return (keyed.join(F.broadcast(offsets), "_p")
-            .withColumn(index_col, (F.col("_off") + F.row_number().over(wi) - 1).cast("int"))
-            .drop("_p", "_off"))
+def range_index(df: DataFrame, col: str, index_col: str = "idx") -> DataFrame:
+    """0-based position of each row by ``col`` ascending: rows are range-partitioned by ``col``, numbered inside
+    their partition, and shifted by the sizes of the partitions before (one small row each).  The ranges are
+    written once, so numbers and sizes come from the same partitions."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranges")
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(n, col).withColumn("_p", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_p").orderBy(col)
+    return (ranged.join(F.broadcast(sizes), "_p")
+            .withColumn(index_col, (F.col("_off") + F.row_number().over(inside) - 1).cast("int")).drop("_p", "_off"))
 
 
 def fit_vocabulary(df: DataFrame, id_col: str, text_col: str,
@@ -113,22 +109,17 @@ def fit_vocabulary(df: DataFrame, id_col: str, text_col: str,
     """
     spark = df.sparkSession
     stops = resolve_stop_words(spark, options) if stop_words is None else tuple(stop_words)
-    # The exchanged texts are read twice (document count, term statistics): persisted once, so the
-    # upstream work (cleaning) runs once; a scalar subquery would re-run it.
-    texts = doc_texts(df, id_col, text_col).persist(StorageLevel.MEMORY_AND_DISK)
-    n_docs = F.lit(float(texts.count()))
-    counts = doc_term_counts(texts, id_col, text_col, options, stops)
-    stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    kept = stats.where((F.col("df") >= _doc_count_limit(options.min_df, n_docs))
+    path = scratch_path(spark, "term-stats")
+    stats = term_stats(df, text_col, options, stops)
+    stats.write.parquet(path)
+    stats = spark.read.schema(stats.schema).parquet(path)
+    n_docs = F.lit(float((stats.where(F.col("term").isNull()).select("df").head() or [0])[0]))
+    kept = stats.where(F.col("term").isNotNull() & (F.col("df") >= _doc_count_limit(options.min_df, n_docs))
                        & (F.col("df") <= _doc_count_limit(options.max_df, n_docs)))
     if options.max_features is not None:
         kept = kept.orderBy(F.col("cf").desc(), F.col("term")).limit(int(options.max_features))
     vocab = kept.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
-    if options.max_features is not None and options.max_features <= 100_000:
-        vocab = vocab.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
-    else:
-        vocab = prefix_index(vocab, "term")
-    return vocab
+    return range_index(vocab, "term")
 
 
 def tfidf(df: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
@@ -144,8 +135,7 @@ def tfidf(df: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
     is_tfidf = options.vectorizer_type.lower() == "tfidf"
     use_idf = is_tfidf if use_idf is None else use_idf
     normalize = is_tfidf if normalize is None else normalize
-    out = doc_term_counts(doc_texts(df, id_col, text_col), id_col, text_col, options, stops, vocab=vocab,
-                          vocab_bound=options.max_features)
+    out = doc_term_counts(df, id_col, text_col, options, stops, vocab)
     w = F.col("tf") * F.col("idf") if use_idf else F.col("tf").cast("double")
     out = out.withColumn("weight", w)
     if normalize:
@@ -154,25 +144,17 @@ def tfidf(df: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
     return out.select(id_col, "term", "idx", "tf", "weight")
 
 
-def top_terms(df: DataFrame, id_col: str, text_col: str, k: int = 20,
-              options: FeatureOptions = FeatureOptions(), stop_words: Optional[Sequence[str]] = None) -> DataFrame:
-    """The k most frequent terms of the corpus (no df pruning): ``(term, df, cf)``."""
-    spark = df.sparkSession
-    stops = resolve_stop_words(spark, options) if stop_words is None else tuple(stop_words)
-    counts = doc_term_counts(doc_texts(df, id_col, text_col), id_col, text_col, replace(options, binary=False), stops)
-    stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    return stats.orderBy(F.col("cf").desc(), F.col("term")).limit(k)
-
-
-def label_encode(df: DataFrame, label_col: str, out_col: str = "label_idx"):
+def label_encode(df: DataFrame, label_col: str, out_col: str = "label_idx", classes: Optional[DataFrame] = None):
     """F8: sorted distinct classes -> 0..k-1 (numeric order for numbers, text order for strings).
 
-    Returns ``(encoded_df, classes_df)``; a label missing from the class table fails the inner join
-    check, like the reference's encoder on unseen labels.
-    """
-    classes = df.select(label_col).distinct().where(F.col(label_col).isNotNull())
-    classes = classes.withColumn(out_col, (F.row_number().over(Window.orderBy(label_col)) - 1).cast("int"))
-    return df.join(F.broadcast(classes), label_col, "left"), classes
+    Returns ``(encoded_df, classes_df)``.  With the ``classes`` of an earlier fit, a label that they do not have
+    is an error, raised when the row is read; a null label stays null."""
+    if classes is None:
+        classes = range_index(df.select(label_col).where(F.col(label_col).isNotNull()).distinct(), label_col, out_col)
+    out = df.join(classes, label_col, "left")
+    unseen = F.col(out_col).isNull() & F.col(label_col).isNotNull()
+    fail = F.raise_error(F.concat(F.lit("label without a code: "), F.col(label_col).cast("string"))).cast("int")
+    return out.withColumn(out_col, F.when(unseen, fail).otherwise(F.col(out_col))), classes
 
 
 def label_decode(df: DataFrame, classes: DataFrame, idx_col: str, label_col: str,
@@ -180,7 +162,7 @@ def label_decode(df: DataFrame, classes: DataFrame, idx_col: str, label_col: str
     """code -> original label through the class table."""
     out_col = out_col or label_col
     c = classes.select(F.col(idx_col).alias("_code"), F.col(label_col).alias(out_col))
-    return df.join(F.broadcast(c), df[idx_col] == c["_code"], "left").drop("_code")
+    return df.join(c, df[idx_col] == c["_code"], "left").drop("_code")
 
 
 def vocabulary_info(vocab: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
@@ -202,18 +184,19 @@ def term_polarity(df: DataFrame, id_col: str, tokens_col: str, label_col: str,
     ``log_odds = ln((pos + a) / (P + 2a)) - ln((neg + a) / (N + 2a))`` with ``P``/``N`` the labelled
     documents per class.
     """
-    docs = df.select(id_col, label_col, F.array_distinct(tokens_col).alias("_t"))
-    totals = docs.agg(F.count_if(F.col(label_col) == 1).cast("double").alias("P"),
-                      F.count_if(F.col(label_col) == 0).cast("double").alias("N"))
-    p_tot = totals.select("P").scalar()
-    n_tot = totals.select("N").scalar()
+    # The class totals ride along under the null term.
+    docs = df.select(label_col, F.concat(F.array_distinct(tokens_col), F.array(F.lit(None).cast("string"))).alias("_t"))
     per_term = (docs.select(label_col, F.explode("_t").alias("term")).groupBy("term")
                 .agg(F.count_if(F.col(label_col) == 1).alias("pos_docs"),
                      F.count_if(F.col(label_col) == 0).alias("neg_docs")))
-    a = F.lit(float(smoothing))
-    lo = (F.log((F.col("pos_docs") + a) / (p_tot + 2 * a))
-          - F.log((F.col("neg_docs") + a) / (n_tot + 2 * a)))
-    return per_term.withColumn("log_odds", lo)
+    path = scratch_path(df.sparkSession, "polarity")
+    per_term.write.parquet(path)
+    per_term = df.sparkSession.read.schema(per_term.schema).parquet(path)
+    totals = per_term.where(F.col("term").isNull()).head()
+    p_tot, n_tot = (float(totals["pos_docs"]), float(totals["neg_docs"])) if totals else (0.0, 0.0)
+    a = float(smoothing)
+    lo = (F.log((F.col("pos_docs") + a) / F.lit(p_tot + 2 * a)) - F.log((F.col("neg_docs") + a) / F.lit(n_tot + 2 * a)))
+    return per_term.where(F.col("term").isNotNull()).withColumn("log_odds", lo)
 
 
 def polarity_topk(polarity: DataFrame, k: int = 20, score_col: str = "log_odds") -> DataFrame:
