@@ -146,9 +146,3 @@ def vocabulary_of(model: PipelineModel) -> list[str]:
         if isinstance(stage, CountVectorizerModel):
             return list(stage.vocabulary)
     raise ValueError("pipeline has no vectoriser stage")
-
-
-def features_table(model: PipelineModel, df: DataFrame, keep: Optional[list[str]] = None) -> DataFrame:
-    out = model.transform(df)
-    cols = (keep or df.columns) + ["features"]
-    return out.select(*cols)

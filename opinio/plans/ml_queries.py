@@ -54,7 +54,9 @@ def _with_auc(metrics: DataFrame, preds: DataFrame) -> DataFrame:
 def q_lr_test_metrics(spark, sf_dir):
     """M13 flagship: split -> TF-IDF fitted on train -> logistic regression -> test metrics (M5, M6)."""
     _, clf, others = _readme_lr(spark, sf_dir)
-    preds = tr.prediction_frame(clf.transform(others.where(F.col("split") == "test")))
+    path = scratch_path(spark, "predictions")  # read by the metrics and by the AUC
+    tr.prediction_frame(clf.transform(others.where(F.col("split") == "test"))).write.parquet(path)
+    preds = spark.read.parquet(path)
     return _with_auc(classification_metrics(preds, "label", "prediction"), preds)
 
 

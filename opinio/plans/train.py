@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinio.functions.text import clean_text
-from opinio.operators.metrics import classification_metrics, roc_auc
+from opinio.operators.metrics import classification_metrics, classification_report, confusion_matrix, roc_auc
 from opinio.operators.sampling import assign_folds, sample_n, stratified_split
 from opinio.options import TrainOptions
-from opinio.plans.features import fit_feature_pipeline
-from opinio.plans.runs import log_run
+from opinio.plans.features import fit_feature_pipeline, vocabulary_of
+from opinio.plans.runs import log_run, save_eval_results, save_model
 from opinio.session import checkpoint_root
 
 MAX_RF_DEPTH = 30  # Spark's limit stands in for "no limit"
@@ -98,7 +98,7 @@ def _param_dict(pm) -> dict:
     return {p.name: v for p, v in pm.items()}
 
 
-def _platt(raw_train: DataFrame) -> LogisticRegression:
+def _platt() -> LogisticRegression:
     """M2 probabilities: a one-dimensional logistic regression on the SVM decision values."""
     return LogisticRegression(featuresCol="svm_raw", labelCol="label", regParam=1e-6, standardization=False,
                               predictionCol="platt_prediction", rawPredictionCol="platt_raw",
@@ -116,13 +116,20 @@ def evaluate(model: PipelineModel, features: DataFrame) -> dict:
     pred = model.transform(features)
     has_probability = "probability" in pred.columns
     pf = prediction_frame(pred).persist(StorageLevel.MEMORY_AND_DISK)
-    m = classification_metrics(pf, "label", "prediction").first().asDict()
+    m = classification_metrics(pf, "label", "prediction", digits=15).first().asDict()
     if has_probability:
-        m["roc_auc"] = roc_auc(pf, "label", "prob_positive").first()["roc_auc"]
+        m["roc_auc"] = roc_auc(pf, "label", "prob_positive", digits=15).first()["roc_auc"]
     pf.unpersist()
     return m
 
 
+def evaluation(model: PipelineModel, features: DataFrame) -> dict[str, DataFrame]:
+    """M10 outputs: predictions with probabilities, metrics (M5), report (M8) and confusion matrix (M7)."""
+    predictions = prediction_frame(model.transform(features))
+    return {"predictions": predictions, "metrics": classification_metrics(predictions),
+            "report": classification_report(predictions), "matrix": confusion_matrix(predictions)}
+
+
 def _regularised(name: str, options: TrainOptions) -> bool:
     return name in ("logistic_regression", "svm")
 
@@ -219,11 +226,27 @@ def fit_model(name: str, options: TrainOptions, train_features: DataFrame, n_tra
     best_i = max(range(len(scored)), key=lambda i: (scored[i][1], -i))
     point, cv_f1 = scored[best_i]
     est = _estimator_for(name, options, point, n_train, _gammas(name, options, train_features))
-    stages = [est]
+    model = Pipeline(stages=[est]).fit(train_features)
+    params = dict(point)
     if name == "svm":
-        stages.append(_platt(train_features))
-    model = Pipeline(stages=stages).fit(train_features)
-    return model, float(cv_f1), dict(point)
+        # Probabilities are fitted on scores of rows that the scoring machine has not seen.
+        unseen = None
+        for fold in range(options.cv_folds):
+            part = (est.fit(train_features.where(F.col("fold") != fold))
+                    .transform(train_features.where(F.col("fold") == fold)).select("svm_raw", "label"))
+            unseen = part if unseen is None else unseen.unionAll(part)
+        model = PipelineModel(stages=[*model.stages, _platt().fit(unseen)])
+    if name in ("svm", "logistic_regression"):
+        linear = next(s for s in _flat(model) if hasattr(s, "summary") and callable(getattr(s, "summary", None)) or
+                      getattr(s, "hasSummary", False))
+        summary = linear.summary() if callable(linear.summary) else linear.summary
+        params["iterations"] = summary.totalIterations
+        params["converged"] = summary.totalIterations < (options.svm_max_iter if name == "svm" else options.lr_max_iter)
+    return model, float(cv_f1), params
+
+
+def _flat(model: PipelineModel) -> list:
+    return [x for s in model.stages for x in (_flat(s) if isinstance(s, PipelineModel) else [s])]
 
 
 def cv_scores(options: TrainOptions, train_features: DataFrame, n_train: int, name: str = "logistic_regression"):
@@ -277,6 +300,7 @@ def train(spark: SparkSession, reviews: DataFrame, options: TrainOptions = Train
     n_train = train_f.count()
     val_f = others.where(F.col("split") == "val")
     test_f = others.where(F.col("split") == "test")
+    n_terms = len(vocabulary_of(fmodel)) if runs_path else None
     results: dict = {}
     best_name, best_score = None, 0.0
     for name in options.models:
@@ -294,8 +318,10 @@ def train(spark: SparkSession, reviews: DataFrame, options: TrainOptions = Train
         results[name] = res
         if runs_path:
             log_run(spark, runs_path, f"{name}_training",
-                    params={"model_name": name, **{k: str(v) for k, v in res.best_params.items()},
-                            "n_train_samples": str(n_train)},
+                    params={"model_name": name, "model_type": name, **{k: str(v) for k, v in res.best_params.items()},
+                            "n_train_samples": n_train, "n_val_samples": val_f.count(), "vocabulary_size": n_terms,
+                            "classes": "0,1", "cv_folds": options.cv_folds,
+                            **({"depth_limit": MAX_RF_DEPTH} if name == "random_forest" else {})},
                     metrics={"cv_score": res.cv_f1_binary, "training_time": res.training_time,
                              **{f"val_{k}": v for k, v in res.val_metrics.items()}},
                     tags={"status": res.status, **({"error": res.error} if res.error else {})})
@@ -308,8 +334,13 @@ def train(spark: SparkSession, reviews: DataFrame, options: TrainOptions = Train
         full = PipelineModel(stages=list(fmodel.stages) + list(best.stages))
         test_metrics = evaluate(best, test_f)
         if runs_path:
+            path = save_model(full, f"{runs_path.rstrip('/')}-models/{best_name}-{int(time.time() * 1000)}")
             log_run(spark, runs_path, f"test_evaluation_{best_name}", params={"best_model_name": best_name},
-                    metrics={f"test_{k}": v for k, v in test_metrics.items()}, tags={"best_model": "true"})
+                    metrics={f"test_{k}": v for k, v in test_metrics.items()}, tags={"best_model": "true"}, model_path=path)
+            log_run(spark, runs_path, "model_comparison", params={"models": ",".join(results)},
+                    metrics={f"{n}_val_f1": r.val_metrics.get("f1") for n, r in results.items()},
+                    tags={"best_model_name": best_name})
+            save_eval_results(spark, f"{runs_path.rstrip('/')}-evaluation", best_name, test_metrics)
     return TrainResult(fmodel, results, best_name, full, splits, test_metrics)
 
 
@@ -334,8 +365,6 @@ def feature_importance(spark: SparkSession, feature_model: PipelineModel, classi
                        top_n: int = 20) -> DataFrame:
     """K2: the top-n positive and top-n negative coefficients with their terms; a model without
     coefficients gives no rows.  Coefficients are model-sized (bounded by ``max_features``)."""
-    from opinio.plans.features import vocabulary_of
-
     coefs = None
     for stage in classifier.stages:
         if hasattr(stage, "coefficients") and stage.getOrDefault("featuresCol") == "features":
