@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from opinio.functions.labels import display_label
 from opinio.functions.text import preview
+from opinio.operators.sampling import stratified_split
+from opinio.options import SplitOptions
 
 
 def class_distribution(df: DataFrame, label_col: str = "sentiment") -> DataFrame:
@@ -97,6 +99,15 @@ def dataset_profile(df: DataFrame, label_col: str = "sentiment", text_col: str =
     )
 
 
+def dataset_report(df: DataFrame, label_col: str = "sentiment", text_col: str = "review", id_col: str = "doc_id",
+                   options: SplitOptions = SplitOptions()) -> dict[str, DataFrame]:
+    """A6 in full: the profile, previews of the first rows, and the counts of a trial split."""
+    split = stratified_split(df, label_col, id_col, options)
+    return {"profile": dataset_profile(df, label_col, text_col),
+            "previews": review_preview(df, text_col, label_col, id_col),
+            "trial_split": split_counts(split, label_col)}
+
+
 def score_summary(df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
     """Positives, negatives and scored rows."""
     return df.agg(

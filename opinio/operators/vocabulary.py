@@ -165,8 +165,15 @@ def label_decode(df: DataFrame, classes: DataFrame, idx_col: str, label_col: str
     return df.join(c, df[idx_col] == c["_code"], "left").drop("_code")
 
 
-def vocabulary_info(vocab: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
-    """vocabulary size with the vectoriser parameters, one row."""
+def vocabulary_info(vocab: DataFrame, options: FeatureOptions = FeatureOptions(),
+                    classes: Optional[DataFrame] = None, label_col: str = "label") -> DataFrame:
+    """vocabulary size with the vectoriser parameters, one row; with the class table of ``label_encode`` also the
+    number of classes and their labels in code order (class-sized)."""
+    if classes is not None:
+        known = classes.orderBy(classes.columns[-1]).select(label_col)
+        labels = [r[0] for r in known.collect()]
+        return vocabulary_info(vocab, options).withColumns({
+            "n_classes": F.lit(len(labels)), "classes": F.lit(",".join(map(str, labels)))})
     return vocab.agg(F.count(F.lit(1)).alias("vocabulary_size")).select(
         "vocabulary_size",
         F.lit(options.vectorizer_type).alias("vectorizer_type"),

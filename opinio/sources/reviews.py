@@ -147,6 +147,22 @@ def read_label_directories(spark: SparkSession, root: str, subset: str = "train"
     return df
 
 
+def load_reviews(spark: SparkSession, candidates: Sequence[str], corpus_root: Optional[str] = None,
+                 subsets: Sequence[str] = ("train", "test"), on_bad_label: str = "error") -> DataFrame:
+    """The first review file that exists; else the label directories under ``corpus_root`` (S3, U2); else an
+    error that names the paths tried."""
+    found = resolve_source(spark, candidates)
+    if found:
+        return read_reviews_csv(spark, found, on_bad_label=on_bad_label)
+    if corpus_root and path_exists(spark, corpus_root):
+        out = None
+        for subset in subsets:
+            part = read_label_directories(spark, corpus_root, subset)
+            out = part if out is None else out.unionByName(part)
+        return out
+    raise FileNotFoundError(f"no review source at {[*candidates, corpus_root]}")
+
+
 def read_records(spark: SparkSession, path: str, schema: Optional[T.StructType] = None,
                  multiline_json: bool = False) -> DataFrame:
     """``.csv`` or ``.json`` (JSON Lines; ``multiline_json`` for one array of records)."""
