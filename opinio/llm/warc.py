@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from opinio.llm.common import materialise
 
 MAGIC = b"WARC/1.1\r\n"
+#: Tasks that ranges are dealt to at most; AQE would put these few narrow rows into one.
+MAX_TASKS = 20_000
 #: Bytes in a range, bytes read first for a record head, and the longest head.
 RANGE_BYTES, HEAD_FIRST, HEAD_BYTES = 8 << 20, 2048, 1 << 16
 DATE = "2020-01-01T00:00:00Z"
@@ -54,7 +56,9 @@ def records(pages: DataFrame, min_revisit_bytes: int = 0, id_col: str = "page_id
     first = (p.where(F.col("bytes") >= min_revisit_bytes).groupBy("key").agg(F.min("order").alias("first"),
                                                                            F.count(F.lit(1)).alias("copies"))
              .where("copies > 1").select("key", F.col("first").cast("string").alias("first")))
-    p = p.join(first, "key", "left").withColumn("revisit", F.coalesce(F.col("id") != F.col("first"), F.lit(False)))
+    # Written first, so that Spark knows its size: it is broadcast below the session's threshold, and only with
+    # very many groups of copies are payloads shuffled.
+    p = p.join(materialise(first, "copies"), "key", "left").withColumn("revisit", F.coalesce(F.col("id") != F.col("first"), F.lit(False)))
     p = p.withColumn("digest", _base32(F.unhex(F.sha1(F.col("body").cast("binary")))))
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("bytes").cast("string"), F.lit("\r\n\r\n"))
@@ -110,7 +114,11 @@ def ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> Da
              .where(F.col("length") > 0).select("path", F.col("length").alias("size")))
     cut = files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1,
                                                             F.lit(range_bytes).cast("long"))).alias("lo"))
-    return cut.withColumn("hi", F.least(F.col("lo") + range_bytes, F.col("size"))).repartition("path", "lo")
+    return cut.withColumn("hi", F.least(F.col("lo") + range_bytes, F.col("size")))
+
+
+def _dealt(rows: DataFrame, *cols: str) -> DataFrame:
+    return rows.repartition(max(1, min(rows.count(), MAX_TASKS)), *cols)
 
 
 def candidate_exits(cut: DataFrame) -> DataFrame:
@@ -137,7 +145,7 @@ def candidate_exits(cut: DataFrame) -> DataFrame:
                     [pa.array([path] * len(ats), pa.string()), pa.array(ats, pa.int64()),
                      pa.array(list(exits.values()), pa.int64())], names=["path", "at", "out"])
 
-    return cut.select("path", "size", "lo", "hi").mapInArrow(run, "path string, at long, out long")
+    return _dealt(cut.select("path", "size", "lo", "hi"), "path", "lo").mapInArrow(run, "path string, at long, out long")
 
 
 def entry_points(cut: DataFrame) -> DataFrame:
@@ -202,8 +210,9 @@ def read_records(cut: DataFrame, entries: DataFrame, range_bytes: int, with_payl
             yield batch_of(rows)
 
     step = F.col("at") - F.pmod("at", F.lit(range_bytes).cast("long"))
-    known = cut.join(entries.withColumn("lo", step), ["path", "lo"])
-    return known.select("path", "hi", "size", "at").repartition("path", "at").mapInArrow(run, _SCHEMA)
+    known = materialise(cut.join(entries.withColumn("lo", step), ["path", "lo"]).select("path", "hi", "size", "at"),
+                        "entries")
+    return _dealt(known, "path", "at").mapInArrow(run, _SCHEMA)
 
 
 def read_warc(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, with_payload: bool = True) -> DataFrame:
