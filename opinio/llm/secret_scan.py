@@ -189,10 +189,12 @@ def train_forest(findings: DataFrame, options: ForestOptions = ForestOptions())
     if len(n) < 2:
         share = 0.5 if not n else float(max(n))
         return [(np.array([-1]), np.zeros(1), np.zeros(1, int), np.zeros(1, int), np.array([share]))]
-    forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=o.trees, maxDepth=o.depth, seed=o.seed,
+    # Both classes weigh the same, so a few true findings among many harmless ones are learned too.
+    weight = F.when(F.col("label") == 1, 0.5 * sum(n.values()) / n[1.0]).otherwise(0.5 * sum(n.values()) / n[0.0])
+    forest = RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="weight", numTrees=o.trees, maxDepth=o.depth, seed=o.seed,
                                     featureSubsetStrategy="sqrt")
     path = scratch_path(spark, "forest")
-    forest.fit(sample.select(array_to_vector("features").alias("x"), "label")).write().save(path)
+    forest.fit(sample.select(array_to_vector("features").alias("x"), "label", weight.alias("weight"))).write().save(path)
     # At most trees * 2^(depth + 1) nodes.
     data = spark.read.parquet(f"{path}/data")
     data = data.select("treeID", "nodeData.*") if "nodeData" in data.columns else data

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import subprocess
 import sys
@@ -20,6 +21,9 @@ def test_stages_on_documents(spark):
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for k, (name, stage) in enumerate(cp.STAGES):
+        if name == "secrets":  # the smallest tables have none
+            rows = [(10_000 + i, f'plain words and token = "{hashlib.sha1(bytes([i])).hexdigest()}" in the text', "en", "s", 77) for i in range(5)]
+            docs = docs.unionByName(spark.createDataFrame(rows, docs.schema))
         out = materialise(stage(spark, docs, SF), "t")
         if k < len(cp.STAGES) - 1:
             assert out.columns == docs.columns and out.dtypes == docs.dtypes
@@ -37,7 +41,7 @@ def test_stages_on_documents(spark):
             if name == "secrets":
                 assert kept == before
                 text = " ".join(r["text"] for r in out.collect())
-                assert 'token = "[SECRET]"' in text
+                assert text.count('token = "[SECRET]"') == 5
         else:
             assert out.count() == docs.count() and out.where("not decodes").count() == 0
         docs = out
