@@ -1,7 +1,7 @@
 """Secret scan: candidate strings, with false positives removed by a random forest.
 
-A candidate is a long run of key-like characters with a digit or an issuer's prefix, or any value assigned to a credential
-name.  Its features are its length, character classes and the transitions between them, the share covered
+A candidate is a long run of key-like characters with a digit or an issuer's prefix, or any value of six bytes or
+more assigned to a name that ends in a credential name, up to its closing quote or white space.  Its features are its length, character classes and the transitions between them, the share covered
 by dictionary pieces, the words of the document's path, and the words and signs next to it.  The forest is
 trained with Spark ML on labelled findings: candidates with a label, from a table of reviewed findings or,
 where there is none, from ``known_formats``.  Its trees are read back as arrays and broadcast, so that one pass
@@ -33,16 +33,22 @@ from opinio.session import scratch_path
 CREDENTIAL_NAMES = (b"password", b"passwd", b"pwd", b"secret", b"token", b"api_key", b"apikey", b"access_key", b"auth",
                     b"credential", b"private_key", b"bearer")
 SAMPLE_WORDS = (b"example", b"sample", b"dummy", b"test", b"fake", b"mock", b"placeholder", b"changeme", b"xxxx")
-_CANDIDATE = re.compile(
-    rb"[A-Za-z0-9+/_@.:\-]{12,}={0,2}"
-    rb"|(?i:password|passwd|pwd|secret|token|api_?key|access_key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>[^\s\"']{6,64})")
+_RUN = re.compile(rb"[A-Za-z0-9+/_@.:\-]{12,}={0,2}")
+_NAME = b"|".join(n.replace(b"_", rb"[_\-]?") for n in CREDENTIAL_NAMES)
+_SCHEME = rb"(?:(?:bearer|basic)\s{1,3})?"
+_ASSIGN = rb"(?:(?:" + _NAME + rb")[\"']?\s{0,3}[=:]{1,3}>?\s{0,3}|bearer\s{1,3})"
+#: An assigned value, looked for in the text with A-Z lower-cased: to its closing quote, else to white space or a quote.
+_VALUE = re.compile(_ASSIGN + rb"(?:\"" + _SCHEME + rb"(?P<double>(?:[^\"\\\r\n]|\\.){6,}+)\""
+                    rb"|'" + _SCHEME + rb"(?P<single>(?:[^'\\\r\n]|\\.){6,}+)'"
+                    rb"|[\"']?" + _SCHEME + rb"(?P<bare>[^\s\"']{6,}))")
+_NAME_BYTES = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.-")
 #: Public formats of issued keys.
 _ISSUED = re.compile(rb"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abp]-[A-Za-z0-9-]{10,}"
                      rb"|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35}")
 _OPAQUE = re.compile(rb"[0-9a-fA-F]{16,}|[A-Za-z0-9+/_\-]{16,}={0,2}")
 _HARMLESS = re.compile(rb"\d{1,3}(?:\.\d{1,3}){3}(?::\d+)?|[^@]+@[^@]+\.[A-Za-z]+|\d[\d.:/_\-]*|\d{4}-\d\d-\d\d[T:0-9.Z]*"
                        rb"|(?:https?:)?//.*|[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
-_ASSIGNED = re.compile(rb"(?i:" + b"|".join(CREDENTIAL_NAMES) + rb")[\"']?\s{0,3}[=:]\s{0,3}[\"']?$")
+_ASSIGNED = re.compile(rb"(?i:" + _ASSIGN + rb")[\"']?(?i:" + _SCHEME + rb")$")
 FEATURES = ("length", "digits", "upper", "lower", "signs", "transitions", "distinct", "entropy", "hex", "vowels",
             "dictionary", "assigned", "quoted", "credential_word", "sample_word", "path_sample", "path_depth", "dots")
 #: Bytes on each side of a candidate that count as neighbouring.
@@ -90,18 +96,11 @@ def describe(value: bytes, left: bytes, right: bytes, path: bytes, pieces: froze
             float(any(w in low_path for w in SAMPLE_WORDS)), float(low_path.count(b"/")), value.count(b".") / len(value)]
 
 
-def candidates(text: bytes) -> Iterator[tuple[int, int]]:
-    """Byte spans of the candidates of a text, in order and without overlap."""
-    for m in _CANDIDATE.finditer(text):
-        if m.lastgroup == "value":
-            yield m.span("value")
-            continue
+def _runs(text: bytes, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+    for m in _RUN.finditer(text, lo, hi):
         start, end = m.span()
         value = m[0]
-        name = value.rfind(b":") + 1  # name:value in one run
-        if name and value[:name - 1].lower() in CREDENTIAL_NAMES:
-            start += name
-        elif not any(48 <= c <= 57 for c in value) and not _ISSUED.search(value):
+        if not any(48 <= c <= 57 for c in value) and not _ISSUED.search(value):
             continue
         while end > start and text[end - 1] in b".:-@":  # sentence signs at the end
             end -= 1
@@ -109,6 +108,20 @@ def candidates(text: bytes) -> Iterator[tuple[int, int]]:
             yield start, end
 
 
+def candidates(text: bytes) -> Iterator[tuple[int, int]]:
+    """Byte spans of the candidates of a text, in order and without overlap.  Assigned values come first; the name
+    they are assigned to, with its prefix, is no candidate."""
+    at = 0
+    for m in _VALUE.finditer(text.lower()):
+        name = m.start()
+        while name > at and text[name - 1] in _NAME_BYTES:
+            name -= 1
+        yield from _runs(text, at, m.start() if _ISSUED.search(text, name, m.start()) else name)
+        yield m.span(m.lastgroup)
+        at = m.end(m.lastgroup)
+    yield from _runs(text, at, len(text))
+
+
 def known_formats(value: bytes, left: bytes) -> int:
     """Label of a finding whose kind is plain: 1 for an issued key or an opaque value assigned to a credential
     name, 0 for an address, a number, a date, an id in a public form; -1 where it takes judgement."""

@@ -182,3 +182,24 @@ def test_candidates_and_known_formats():
     assert found(b"nothing but long-hyphenated-words here") == []
     assert known_formats(b"AKIA" + b"A" * 16, b"") == 1 and known_formats(b"10.0.0.1", b"token=") == 0
     assert known_formats(b"a" * 40, b'token = "') == 1 and known_formats(b"zzzzzzz1zzzzzzz", b"") == -1
+
+
+def test_assigned_values_are_whole_whatever_their_name_and_length(spark):
+    found = lambda t: [t[a:b] for a, b in candidates(t)]
+    jwt = b"eyJhbGciOiJIUzI1NiJ9." + b"a1B2c3D4" * 18 + b"." + b"Zz9_-x" * 4
+    assert found(b'token="' + jwt + b'" and') == [jwt]
+    assert found(b"token=" + b"$a!9" * 40 + b" tail") == [b"$a!9" * 40]
+    assert found(b"MYSQL_ROOT_PASSWORD=Sup3r!pw") == [b"Sup3r!pw"] == found(b"DB2_MAIN_PASSWORD=Sup3r!pw")
+    assert found(b"db_admin_password = hunter2!x;") == [b"hunter2!x;"]
+    assert found(b"x = {'api-key': 'two words \\' 3', \"n\": 1}") == [b"two words \\' 3"]
+    for name in (b"auth", b"credential", b"private_key", b"bearer", b"Spring.Datasource.PASSWD"):
+        assert found(name + b': "hunter2!"') == [b"hunter2!"], name
+    assert found(b"Authorization: Bearer s3cr3t!tok") == [b"s3cr3t!tok"] == found(b"auth: Bearer s3cr3t!tok")
+    assert found(b"id 0123456789abcdef0 then password=hunter2! 10.20.30.40:8080.") == [b"0123456789abcdef0", b"hunter2!", b"10.20.30.40:8080"]
+    assert known_formats(b"a1" * 20, b"MY_PRIVATE_KEY=") == 1 == known_formats(b"a1" * 20, b"Bearer ")
+    long = b"password=" + b"q" * 1_000_000 + b" " + b"_" * 500_000 + b"password" * 60_000
+    assert found(long) == [b"q" * 1_000_000]  # in linear time
+    reviewed = spark.createDataFrame([([0.0] * 18, 1)], "features array<double>, label int")
+    docs = spark.createDataFrame([(1, f'use token="{jwt.decode()}" now'), (2, "MYSQL_ROOT_PASSWORD=Sup3r!pw")], "doc_id long, text string")
+    clean = redact(scan_secrets(docs, reviewed, path_col=None)).orderBy("doc_id").collect()
+    assert [r["text"] for r in clean] == ['use token="[SECRET]" now', "MYSQL_ROOT_PASSWORD=[SECRET]"]
