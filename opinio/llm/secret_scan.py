@@ -57,8 +57,9 @@ NEAR = 40
 
 @dataclass(frozen=True)
 class ForestOptions:
-    #: Labelled findings used for training at most.
+    #: Distinct labelled findings used for training at most, and the weight of a finding's copies at most.
     max_findings: int = 20_000
+    max_copies: int = 16
     trees: int = 24
     depth: int = 6
     seed: int = 5
@@ -192,18 +193,28 @@ def scan(spark: SparkSession, text: Column, path: Column, trees=None, vocabulary
 def train_forest(findings: DataFrame, options: ForestOptions = ForestOptions()) -> list[tuple[np.ndarray, ...]]:
     """Trees (feature or -1, threshold, left, right, share of label 1) learned from ``(features, label)``.
 
-    At most ``max_findings`` labelled rows are used, chosen by a hash of their features; with one class only, or
-    none, there is one leaf with its share (one half for none)."""
+    Equal findings are one row, whose number of copies weighs up to ``max_copies``.  At most ``max_findings`` of
+    these are used, chosen by a hash of their features: half of them of each label, more where the other has
+    fewer.  With one class only, or none, there is one leaf with its share (one half for none)."""
     o, spark = options, findings.sparkSession
-    sample = (findings.where(F.col("label").isin(0, 1)).select("features", F.col("label").cast("double"))
-              .orderBy(F.xxhash64("features", F.lit(o.seed)), "label").limit(o.max_findings))
-    sample = materialise(sample, "findings")
-    n = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(n) < 2:
-        share = 0.5 if not n else float(max(n))
+    distinct = (findings.where(F.col("label").isin(0, 1)).select("features", F.col("label").cast("double"))
+                .groupBy("features", "label").agg(F.least(F.count(F.lit(1)), F.lit(o.max_copies)).alias("copies")))
+    distinct = materialise(distinct, "findings")
+
+    def lowest(rows: DataFrame, label: float, n: int) -> DataFrame:
+        return rows.where(F.col("label") == label).orderBy(F.xxhash64("features", F.lit(o.seed)), "features").limit(n)
+
+    have = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(have) < 2:
+        share = 0.5 if not have else float(max(have))
         return [(np.array([-1]), np.zeros(1), np.zeros(1, int), np.zeros(1, int), np.array([share]))]
+    half = max(o.max_findings // 2, 1)
+    sample = materialise(lowest(distinct, 0.0, max(half, o.max_findings - have[1.0])).unionAll(
+        lowest(distinct, 1.0, max(half, o.max_findings - have[0.0]))), "findings")
+    n = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.sum("copies").alias("n")).collect()}
     # Both classes weigh the same, so a few true findings among many harmless ones are learned too.
-    weight = F.when(F.col("label") == 1, 0.5 * sum(n.values()) / n[1.0]).otherwise(0.5 * sum(n.values()) / n[0.0])
+    weight = F.col("copies") * F.when(F.col("label") == 1, 0.5 * sum(n.values()) / n[1.0]).otherwise(
+        0.5 * sum(n.values()) / n[0.0])
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="weight", numTrees=o.trees, maxDepth=o.depth, seed=o.seed,
                                     featureSubsetStrategy="sqrt")
     path = scratch_path(spark, "forest")

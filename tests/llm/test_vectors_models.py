@@ -203,3 +203,22 @@ def test_assigned_values_are_whole_whatever_their_name_and_length(spark):
     docs = spark.createDataFrame([(1, f'use token="{jwt.decode()}" now'), (2, "MYSQL_ROOT_PASSWORD=Sup3r!pw")], "doc_id long, text string")
     clean = redact(scan_secrets(docs, reviewed, path_col=None)).orderBy("doc_id").collect()
     assert [r["text"] for r in clean] == ['use token="[SECRET]" now', "MYSQL_ROOT_PASSWORD=[SECRET]"]
+
+
+def test_forest_of_a_large_skewed_table_knows_both_classes(spark):
+    """Few secrets among many harmless findings, and a third of all rows copies of the finding first by hash."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(6)
+    x = rng.uniform(size=(2000, 18))
+    x[:8, 2:8] += 2  # the secrets
+    df = spark.createDataFrame([(r.tolist(), int(i < 8)) for i, r in enumerate(x)], "features array<double>, label int")
+    o = ForestOptions(max_findings=200)
+    df = df.withColumn("h", F.xxhash64("features", F.lit(o.seed)))
+    for label in (0, 1):
+        first = df.where(F.col("label") == label).orderBy("h").limit(1)
+        least = first.head()["h"]
+        rows = df.where(F.col("h") >= least).unionAll(first.withColumn("h", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(1000).cast("long")))))
+        trees = train_forest(rows.select("features", "label"), o)
+        got = forest_scores(trees, x) >= 0.5
+        assert len(trees) == o.trees and got[:8].all() and got[8:].mean() < 0.05
