@@ -217,7 +217,10 @@ def lattice(trie: Trie, words: list[bytes]) -> Lattice:
     start = pos[at]
     w = word[start] if len(start) else start
     offset = end - begin[w]
-    order = np.argsort((offset << 42) + (end << 12) - np.minimum(end - start, 4095), kind="stable")
+    if len(buf) < 1 << 21:  # one packed key is faster; beyond this it would not fit
+        order = np.argsort((offset << 42) + (end << 12) - np.minimum(end - start, 4095), kind="stable")
+    else:
+        order = np.lexsort((start - end, end, offset))
     start, end, piece, w, offset = start[order], end[order], piece[order], w[order], offset[order]
     steps = np.flatnonzero(np.diff(offset, prepend=-1, append=-1)) if len(offset) else np.zeros(1, np.int64)
     return Lattice(begin + np.arange(len(words)), stop + np.arange(len(words)), start + w, end + w, piece,

@@ -222,6 +222,18 @@ def test_forward_and_posteriors_sum_over_all_segmentations(vocab):
         assert math.isclose(use[owner == k].sum(), expected, rel_tol=1e-9)
 
 
+def test_word_above_two_mebibytes(vocab):
+    _, v, trie = vocab
+    word = MARK + "\U0001d54f".encode() * ((1 << 19) + 10)  # no piece has this character: one segmentation
+    lat = lattice(trie, [word])
+    assert (np.diff(lat.end) >= 0).all() and len(lat.steps) == (1 << 19) + 12
+    edges, cuts = best_paths(lat, v.scores, -1e3)
+    assert lat.width[edges].sum() == len(word) and (lat.start[edges][1:] == lat.end[edges][:-1]).all()
+    weight = np.full(len(lat.piece), -0.5)
+    assert forward(lat, weight)[lat.last] == -0.5 * len(edges)
+    assert np.allclose(edge_posteriors(lat, weight), 1)
+
+
 def test_encode_decode_round_trip(spark, vocab):
     _, v, trie = vocab
     docs = odd_docs(spark, [(40, "\nstart"), (41, "a \n b"), (42, "  "), (43, "\n"), (44, "x" * 5000), (45, "é\x00\x7f\u200b")])
