@@ -44,6 +44,10 @@ class FMOptions:
     factor_rate: float = 0.3
     #: Pull of linear weights to zero (absolute) and of factors (in proportion).
     shrink: float = 0.02
+    factor_shrink: float = 0.003
+    #: Spread of the factors at the start, and the sum of squared gradients that a feature's steps begin with.
+    factor_start: float = 0.1
+    factor_calm: float = 1e-3
     max_factor: float = 4.0
     seed: int = 7
 
@@ -81,7 +85,11 @@ def _scales(cuts: np.ndarray) -> np.ndarray:
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, o: FMOptions):
     """(bias, weights, factors) by stochastic gradient descent on the logistic loss, both classes counting
-    the same in total; the linear weights are shrunk to exact zeros."""
+    the same in total; the linear weights are shrunk to exact zeros.
+
+    The linear part is fitted first, then the factors on what it leaves, so that the pairs cannot take over
+    what single features tell.  A factor's step is divided by the root of its feature's squared gradients
+    so far: it does not vanish with the length of the texts."""
     rng = np.random.default_rng(o.seed)
     size = 1 << o.bits
     w, v = np.zeros(size, np.float32), np.zeros((size, o.factors), np.float32)
@@ -90,36 +98,42 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, o: FMOptions):
     if not 0 < share < 1:
         return bias, w, v
     often = np.bincount(np.concatenate(rows), minlength=size) >= o.min_rows
-    v[often] = rng.normal(0, 0.01, (int(often.sum()), o.factors))
+    v[often] = rng.normal(0, o.factor_start, (int(often.sum()), o.factors))
     rows = [r[often[r]] for r in rows]
     gain = np.where(labels > 0, (1 - share) / share, 1.0)
+    seen = np.full(size, o.factor_calm, np.float32)
     steps, step = o.epochs * -(-len(rows) // o.batch), 0
-    for _ in range(o.epochs):
+    for epoch in range(2 * o.epochs):
+        linear = epoch < o.epochs
+        step = 0 if epoch == o.epochs else step
         order = rng.permutation(len(rows))
         for lo in range(0, len(order), o.batch):
             pick = order[lo:lo + o.batch]
             part = [rows[i] for i in pick]
             cuts = np.cumsum([0, *map(len, part)])
             idx, scale = np.concatenate(part), _scales(cuts)
-            vs = v[idx]
-            s = _sums(vs, cuts)
-            m = bias + _sums(w[idx], cuts) * scale + 0.5 * (s * s - _sums(vs * vs, cuts)).sum(axis=1) * scale ** 2
+            m = bias + _sums(w[idx], cuts) * scale
+            if not linear:
+                vs = v[idx]
+                s = _sums(vs, cuts)
+                m += 0.5 * (s * s - _sums(vs * vs, cuts)).sum(axis=1) * scale ** 2
             err = (1 / (1 + np.exp(-np.clip(m, -30, 30))) - labels[pick]) * gain[pick]
             owner = np.repeat(np.arange(len(part)), np.diff(cuts))
             uniq, where = np.unique(idx, return_inverse=True)
-            dw = np.bincount(where, (err * scale)[owner], len(uniq))
-            pair = (err * scale ** 2)[owner, None] * (s[owner] - vs)
-            dv = np.stack([np.bincount(where, pair[:, f], len(uniq)) for f in range(o.factors)], axis=1)
-            # A feature of many rows of the batch gets the sum of their steps; its root keeps that stable.
-            calm = 1 / np.sqrt(np.bincount(where))
-            dw, dv = dw * calm, dv * calm[:, None]
             rate = o.rate * (1 - step / steps)
             step += 1
-            moved = w[uniq] - rate * dw
-            w[uniq] = np.sign(moved) * np.maximum(np.abs(moved) - rate * o.shrink, 0)
-            v[uniq] = np.clip((v[uniq] - o.factor_rate * rate * dv) * (1 - min(0.5, rate * o.shrink)),
+            if linear:
+                # A feature of many rows of the batch gets the sum of their steps; its root keeps that stable.
+                dw = np.bincount(where, (err * scale)[owner], len(uniq)) / np.sqrt(np.bincount(where))
+                moved = w[uniq] - rate * dw
+                w[uniq] = np.sign(moved) * np.maximum(np.abs(moved) - rate * o.shrink, 0)
+                bias -= 0.1 * rate * float(err.mean())
+                continue
+            pair = (err * scale ** 2)[owner, None] * (s[owner] - vs)
+            dv = np.stack([np.bincount(where, pair[:, f], len(uniq)) for f in range(o.factors)], axis=1)
+            seen[uniq] += (dv * dv).mean(axis=1)
+            v[uniq] = np.clip((v[uniq] - o.factor_rate * rate * dv / np.sqrt(seen[uniq, None])) * (1 - rate * o.factor_shrink),
                               -o.max_factor, o.max_factor)
-            bias -= 0.1 * rate * float(err.mean())
     return bias, w, v
 
 
