@@ -28,8 +28,8 @@ from opinio.llm.common import materialise
 MAGIC = b"WARC/1.1\r\n"
 #: Tasks that ranges are dealt to at most; AQE would put these few narrow rows into one.
 MAX_TASKS = 20_000
-#: Bytes in a range, bytes read first for a record head, and the longest head.
-RANGE_BYTES, HEAD_FIRST, HEAD_BYTES = 8 << 20, 2048, 1 << 16
+#: Bytes in a range, and bytes read first for a record head; further steps double what has been read.
+RANGE_BYTES, HEAD_FIRST = 8 << 20, 2048
 DATE = "2020-01-01T00:00:00Z"
 _ID = "urn:x-page:"
 #: Bytes of payload that a reading task holds before it passes rows on.
@@ -94,12 +94,15 @@ def _open(uri: str):
 def _head(f, at: int) -> tuple[int, int, dict[str, str]] | None:
     """(block start, block length, fields) of the record at ``at``; None if none can start there."""
     raw = f.read_at(HEAD_FIRST, at)
-    end = raw.find(b"\r\n\r\n")
-    if end < 0:
-        raw = f.read_at(HEAD_BYTES, at)
-        end = raw.find(b"\r\n\r\n")
-    if not raw.startswith((MAGIC, b"WARC/1.0\r\n")) or end < 0:
+    if not raw.startswith((MAGIC, b"WARC/1.0\r\n")):
         return None
+    seen = 0
+    while (end := raw.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
+        seen = len(raw)
+        more = f.read_at(seen, at + seen)
+        if not more:  # the file ends
+            return None
+        raw += more
     fields = {}
     for line in raw[:end].split(b"\r\n")[1:]:
         name, _, value = line.decode("utf-8", "replace").partition(":")

@@ -168,3 +168,15 @@ def test_damage_ends_a_file_and_spares_the_others(spark, tmp_path):
     (tmp_path / "d.warc").write_bytes(b"")
     got = sorted(r["record_id"][-1] for r in read_warc(spark, str(tmp_path), 64).collect())
     assert got == ["1", "2", "3", "4", "6"]
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 20, 5000])
+def test_record_heads_of_any_length(spark, range_bytes):
+    """A url far beyond any first read, and one that ends around the steps in which a head is read."""
+    urls = ["http://a/", "data:" + "x" * 200_000, *(f"http://b/{'y' * n}" for n in range(1800, 1860, 3)), "http://c/"]
+    pages = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    path = scratch_path(spark, "warc-test")
+    write_warc(pages.coalesce(1), path)
+    got = {r["record_id"]: r for r in read_warc(spark, path, range_bytes).collect()}
+    assert len(got) == len(urls)
+    assert all(got[f"urn:x-page:{i}"]["target_uri"] == u and got[f"urn:x-page:{i}"]["intact"] for i, u in enumerate(urls))
