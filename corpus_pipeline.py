@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinio.llm.common import materialise, read_table
-from opinio.llm.decontam import decontaminate
+from opinio.llm.decontam import contaminated_spans
 from opinio.llm.secret_scan import redact, scan_secrets
 from opinio.llm.simhash import simhash_groups
 from opinio.llm.spm import same_text, sentencepiece_ids
@@ -36,10 +36,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: documents with any occurrence of a benchmark window go."""
-    found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"), window=10)
-    hit = materialise(found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*COLUMNS)
+    """Benchmark decontamination: documents with any occurrence of a benchmark window go.  A document is its id and
+    its text: others with the same id, or without one too, stay."""
+    found = contaminated_spans(docs, read_table(spark, sf_dir, "benchmark"), window=10)
+    hit = found.where(F.col("start").isNotNull()).select(F.col("doc").alias("_hit"), "th").distinct()
+    hit = materialise(hit, "contaminated")
+    same = F.col("doc_id").eqNullSafe(F.col("_hit")) & (F.xxhash64("text") == F.col("th"))
+    return docs.join(hit, same, "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

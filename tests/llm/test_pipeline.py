@@ -58,6 +58,14 @@ def test_odd_documents(spark):
         assert stage(spark, docs, SF).count() <= len(rows)
 
 
+def test_decontamination_drops_no_other_document_of_the_same_id(spark):
+    leak = next(r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len((r["text"] or "").split()) > 12)
+    rows = [(i, t, "en", "s", len(t)) for i in (None, 7) for t in (leak, "a clean text of its own", "another clean text")] + [(None, None, "en", "s", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = cp.drop_benchmark_copies(spark, docs, SF).collect()
+    assert sorted(map(str, got)) == sorted(str(r) for r in docs.collect() if r["text"] != leak)
+
+
 def test_decontamination_equals_its_sql(spark):
     from opinio.llm.queries import ORACLE, QUERIES
 
