@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinio.llm.common import ascii_lower, materialise
@@ -69,8 +69,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, toleran
     """``(kind, host, rank)``: personalised PageRank of each ``kind`` of seed, over the edges of that kind
     ``(kind, src, dst, share)``; ranks of a kind sum to one.  Mass at hosts without links returns to the
     seeds, which is what scaling the series to one does."""
-    mass = materialise(seeds.select("kind", "host", (F.col("weight") / F.sum("weight").over(
-        Window.partitionBy("kind"))).alias("mass")), "mass")
+    weights = seeds.groupBy("kind").agg(F.sum("weight").alias("all"))  # two rows
+    mass = materialise(seeds.join(F.broadcast(weights), "kind").select(
+        "kind", "host", (F.col("weight") / F.col("all")).alias("mass")), "mass")
     parts = [mass]
     for _ in range(rounds):
         pushed = (mass.withColumnRenamed("host", "src").join(edges, ["kind", "src"])

@@ -118,6 +118,17 @@ def test_propagate_equals_power_iteration(spark):
     assert all(abs(got[h] - x[h]) < 1e-6 for h in x)
 
 
+def test_seed_shares_are_dealt_without_one_group_per_kind(spark, monkeypatch):
+    from opinio.llm import urlfilter
+
+    plans, write = [], urlfilter.materialise
+    monkeypatch.setattr(urlfilter, "materialise", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or write(df, name))
+    seeds = spark.createDataFrame([("t", "a", 3.0), ("t", "b", 1.0), ("d", "a", 2.0)], "kind string, host string, weight double")
+    got = propagate(spark.createDataFrame([], "kind string, src string, dst string, share double"), seeds).collect()
+    assert sorted(tuple(r) for r in got) == [("d", "a", 1.0), ("t", "a", 0.75), ("t", "b", 0.25)]
+    assert plans and not any("Window" in p for p in plans)
+
+
 # -- WARC ------------------------------------------------------------------------------------
 
 TRAP = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x-page:666>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
