@@ -1,7 +1,8 @@
 """Main-text extraction from html by two-pass block rules.
 
 A page is cut into blocks at block-level tags.  The first pass decides blocks on their own: those inside
-navigation, headers, footers, sidebars, notices, adverts, forms or comments are boilerplate; of the others,
+navigation, headers, footers, sidebars, notices, adverts, forms or comments are boilerplate, unless an article
+or the main element begins inside a wrapper so marked, or a form is round the page; of the others,
 blocks with many linked words are boilerplate, and long enough blocks with a fair share of stop words, or
 with few links inside an article, are content.  Short or unclear blocks stay open; the second pass gives
 them the label of their nearest decided neighbour.
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +41,12 @@ BOILERPLATE_NAMES = frozenset("""ad ads advert advertisement adverts advertising
 comments complementary contentinfo cookie cookies consent disqus footer header login masthead menu nav navbar navigation
 newsletter notice notices pager pagination popup promo promoted related replies respond search share sharing sidebar
 signup social sponsor sponsored subscribe toolbar widget widgets""".split())
+#: Marks that an article or main element inside does not lift.
+LASTING = frozenset("nav footer aside menu dialog".split())
+LASTING_NAMES = frozenset("""ad ads advert advertisement adverts advertising comment comments contentinfo disqus footer
+menu nav navbar navigation promoted related replies respond sponsor sponsored""".split())
+#: Words that make a name a state of a wrapper, as in no-sidebar or header-fixed.
+STATES = frozenset("no not with without has have is hide hidden show enabled disabled fixed sticky".split())
 #: Frequent words of a few languages.
 STOP_WORDS = frozenset("""the of and to in is that it for was on are as with be by at this from or an not you he have
 der die das und ist von zu den mit ein eine nicht auf im sich des dem für als auch
@@ -62,13 +70,31 @@ class Block:
     boilerplate: bool
     main: bool
     label: bool | None = None
+    #: Number of the outermost form round the block, and whether it marks the block; 0 for none.
+    form: int = 0
+    formed: bool = False
 
 
-def _names_boilerplate(attrs: str) -> bool:
+def _boilerplate_names(attrs: str) -> set[str]:
+    """Words of ``BOILERPLATE_NAMES`` that begin or end a class, id or role; none from the name of a state."""
+    found = set()
     for m in _ATTR.finditer(attrs):
-        if not BOILERPLATE_NAMES.isdisjoint(_NAME.findall((m[2] or m[3] or m[4] or "").lower())):
-            return True
-    return False
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
+            words = _NAME.findall(name)
+            if words and STATES.isdisjoint(words):
+                found |= BOILERPLATE_NAMES.intersection((words[0], words[-1]))
+    return found
+
+
+def _mark_forms(found: list[Block]) -> list[Block]:
+    """Blocks in a form are boilerplate, unless it is round the page: it has half of the text or more that is not
+    boilerplate otherwise."""
+    size: Counter[int] = Counter()
+    for b in found:
+        size[b.form] += 0 if b.boilerplate else len(b.text)
+    for b in found:
+        b.boilerplate |= b.formed and 2 * size[b.form] < size.total()
+    return found
 
 
 def blocks(page: str) -> list[Block]:
@@ -76,16 +102,19 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     text: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, skipped, boilerplate, main: inherited
+    # tag, skipped, boilerplate, main, lasting boilerplate, form, marked by it: inherited
+    stack: list[tuple[str, bool, bool, bool, bool, int, bool]] = []
+    none = ("", False, False, False, False, 0, False)
+    forms = 0
     skip_until = ""
-    state = ("", False, False, False)
+    state = none
     anchors = 0
 
     def flush():
         nonlocal linked
         body = " ".join(entities.unescape("".join(text)).split())
         if body:
-            out.append(Block(body, linked, state[2], state[3]))
+            out.append(Block(body, linked, state[2], state[3], None, state[5], state[6]))
         text.clear()
         linked = 0
 
@@ -120,7 +149,7 @@ def blocks(page: str) -> list[Block]:
             if any(s[0] == tag for s in stack):
                 while stack.pop()[0] != tag:
                     pass
-                state = stack[-1] if stack else ("", False, False, False)
+                state = stack[-1] if stack else none
             continue
         if tag in ("script", "style", "noscript", "template", "textarea", "title", "iframe"):
             if not m[0].endswith("/>"):
@@ -132,13 +161,18 @@ def blocks(page: str) -> list[Block]:
             if tag == "p" or tag == "li":  # these end where the next begins
                 while stack and stack[-1][0] == tag == "p":
                     stack.pop()
-                state = stack[-1] if stack else ("", False, False, False)
-            bad = (tag in BOILERPLATE and not (tag == "header" and state[3])) or (
-                tag not in ("html", "body", *MAIN) and _names_boilerplate(m["attrs"]))
-            state = (tag, state[1] or tag in SKIPPED, state[2] or bad, state[3] or tag in MAIN)
+                state = stack[-1] if stack else none
+            names = set() if tag in ("html", "body", *MAIN) else _boilerplate_names(m["attrs"])
+            bad = tag in BOILERPLATE and tag != "form" and not (tag == "header" and state[3]) or bool(names)
+            lasting = state[4] or tag in LASTING or not LASTING_NAMES.isdisjoint(names)
+            lifted = tag in MAIN and not lasting
+            outer = tag == "form" and not state[5]
+            forms += outer
+            state = (tag, state[1] or tag in SKIPPED, (state[2] or bad) and not lifted, state[3] or tag in MAIN, lasting,
+                     forms if outer else state[5], (state[6] or tag == "form") and not lifted)
             stack.append(state)
     flush()
-    return out
+    return _mark_forms(out)
 
 
 def classify(found: list[Block], o: BlockOptions) -> list[Block]:

@@ -191,3 +191,25 @@ def test_record_heads_of_any_length(spark, range_bytes):
     got = {r["record_id"]: r for r in read_warc(spark, path, range_bytes).collect()}
     assert len(got) == len(urls)
     assert all(got[f"urn:x-page:{i}"]["target_uri"] == u and got[f"urn:x-page:{i}"]["intact"] for i, u in enumerate(urls))
+
+
+BODY = "The first paragraph of the article has enough of the stop words to be seen as the content of the page."
+MENU = '<ul><li><a href="/a">The first of the links</a></li><li><a href="/b">The second of the links</a></li></ul>'
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form id=aspnetForm>{MENU}<div>{BODY}</div><p>{BODY}</p>{MENU}</form></body>",
+    f"<form><nav>{BODY}</nav><main><p>{BODY}</p><p>{BODY}</p></main><footer>{BODY}</footer></form>",
+    *(f'<body><div class="{c}"><p>{BODY}</p><p>{BODY}</p></div></body>' for c in ("col-8 with-sidebar", "no-sidebar", "header-fixed", "page has_comments")),
+    f'<div class="sidebar"><article><p>{BODY}</p><p>{BODY}</p></article></div>',
+])
+def test_wrappers_round_a_page_are_no_boilerplate(page):
+    assert main_text(page) == f"{BODY}\n{BODY}"
+
+
+@pytest.mark.parametrize("page", [
+    f"<nav><article>{BODY}</article></nav>", f"<footer><main>{BODY}</main></footer>", f'<div id="comments"><article>{BODY}</article></div>',
+    f'<div class="x sidebar">{BODY}</div>', f'<div class="sidebar-left">{BODY}</div>', f'<div class="cookie_banner">{BODY}</div>',
+])
+def test_boilerplate_stays_boilerplate(page):
+    assert main_text(page + f"<article><p>{BODY[:60]}</p></article>") == BODY[:60]
