@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinio.llm.align import alignment_report
 from opinio.llm.common import read_table
 from opinio.llm.decontam import decontaminate
 from opinio.llm.embed_dedup import embedding_groups
@@ -122,3 +123,8 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every document: its span, the digest of its value, the forest's score and verdict."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return scan_secrets(docs).select("doc_id", F.explode("findings").alias("f")).select("doc_id", "f.*")
+
+
+@query("op11_align")
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_report(read_table(spark, sf_dir, "documents"))
