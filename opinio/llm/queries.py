@@ -13,6 +13,7 @@ from opinio.llm.decontam import decontaminate
 from opinio.llm.embed_dedup import embedding_groups
 from opinio.llm.html_text import extract_pages
 from opinio.llm.lm import lm_scores
+from opinio.llm.prefix_trie import conversation_trie
 from opinio.llm.secret_scan import scan_secrets
 from opinio.llm.simhash import simhash_groups
 from opinio.llm.spm import same_text, sentencepiece_ids
@@ -128,3 +129,48 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_align")
 def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_report(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_prefix_trie")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op12_prefix_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, sha256(CAST(octet_length(encode(r)) AS VARCHAR) || ':' || r || t) AS tid, length(t) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            sha256(CAST(octet_length(encode(r)) AS VARCHAR) || ':' || r || t)) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+        WHERE conv_id IS NOT NULL)),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                                                                 lambda c: CAST(ascii(c) AS BIGINT))),
+             lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                                           lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS own, t.pos, t.tid, t.chars FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, t.tid, t.chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h),
+paths AS (
+  SELECT c.conv_id, coalesce(list(r.tid ORDER BY own, pos) FILTER (WHERE r.tid IS NOT NULL), []) AS path,
+         coalesce(list(r.chars ORDER BY own, pos) FILTER (WHERE r.tid IS NOT NULL), []) AS sizes
+  FROM convs c LEFT JOIN rebuilt r USING (conv_id) GROUP BY c.conv_id),
+members AS (
+  SELECT conv_id, d AS depth, array_to_string(path[1:d], ' ') AS k, array_to_string(path[1:d - 1], ' ') AS parent,
+         CASE WHEN d = 0 THEN 0 ELSE sizes[d] END AS chars, len(path) = d AS last
+  FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT depth, k, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+  FROM members GROUP BY depth, k),
+children AS (SELECT depth - 1 AS depth, parent AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY depth, parent),
+full_nodes AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (depth, k)),
+sums AS (
+  SELECT m.depth, m.k, count(*) FILTER (WHERE n.n_children = 0) AS n_leaves, CAST(sum(n.saved) AS BIGINT) AS saved_tokens
+  FROM full_nodes n JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY m.depth, m.k)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s USING (depth, k) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.k = n.parent
+"""
