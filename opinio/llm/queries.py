@@ -13,6 +13,7 @@ from opinio.llm.decontam import decontaminate
 from opinio.llm.embed_dedup import embedding_groups
 from opinio.llm.html_text import extract_pages
 from opinio.llm.lm import lm_scores
+from opinio.llm.pii import pii_report
 from opinio.llm.prefix_trie import conversation_trie
 from opinio.llm.secret_scan import scan_secrets
 from opinio.llm.simhash import simhash_groups
@@ -174,3 +175,8 @@ sums AS (
 SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
 FROM full_nodes n JOIN sums s USING (depth, k) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.k = n.parent
 """
+
+
+@query("op13_pii")
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(read_table(spark, sf_dir, "documents"))
