@@ -57,9 +57,10 @@ class TrainOptions:
     svm_max_iter: int = 10_000  # far beyond what the tolerance needs; reaching it is recorded
     svm_kernels: tuple[str, ...] = ("linear", "rbf")
     svm_gammas: tuple[str, ...] = ("scale", "auto")
-    rff_components: int = 512
+    svm_landmarks: int = 512  # landmark rows of the rbf kernel; exact when there are no more training rows
     rf_trees: tuple[int, ...] = (100, 200)
     rf_depths: tuple[Optional[int], ...] = (10, 20, None)
+    rf_min_split: tuple[int, ...] = (2, 5)
     rf_min_leaf: tuple[int, ...] = (1, 2)
     models: tuple[str, ...] = ("logistic_regression", "svm", "random_forest")
     parallelism: int = 8  # concurrent fits in grid search (the reference searches on all cores)

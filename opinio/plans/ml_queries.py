@@ -74,8 +74,7 @@ def q_lr_predictions(spark, sf_dir):
 def q_cv_scores(spark, sf_dir):
     """M4: mean binary F1 over 5 stratified folds for each C of the logistic-regression grid."""
     _, _, train_f, _ = _prepared(spark, sf_dir)
-    n_train = train_f.count()
-    rows = tr.cv_scores(DEFAULTS, train_f, n_train, "logistic_regression")
+    rows = tr.cv_scores(DEFAULTS, train_f, "logistic_regression")
     data = [(float(pt["C"]), float(s)) for pt, s in rows]
     return spark.createDataFrame(data, "C double, cv_f1_binary double")
 
@@ -93,7 +92,7 @@ def _fitted(spark, sf_dir, name: str):
     if key not in _MEMO:
         train_f = _prepared(spark, sf_dir)[2]
         t0 = time.time()
-        _MEMO[key] = (*tr.fit_model(name, DEFAULTS, train_f, train_f.count()), time.time() - t0)
+        _MEMO[key] = (*tr.fit_model(name, DEFAULTS, train_f), time.time() - t0)
     return _MEMO[key]
 
 
@@ -108,7 +107,7 @@ def _model_predictions(spark, sf_dir, name: str):
 
 @query("svm_predictions")
 def q_svm_predictions(spark, sf_dir):
-    """M2 (linear kernel): C grid with CV, Platt-scaled probabilities."""
+    """M2: the grid of C, kernels and gammas with CV, Platt-scaled probabilities."""
     return _model_predictions(spark, sf_dir, "svm")
 
 

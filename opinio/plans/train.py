@@ -4,8 +4,8 @@ One plan per step, all on Spark ML:
 
 * the split table is deterministic (``md5(id|seed)``), so a lost executor's partitions recompute to
   the same rows; the features table is persisted once (``MEMORY_AND_DISK``) and reused by every fit;
-* grid search fits every (grid point, fold) pair concurrently over a precomputed stratified
-  ``fold`` column, with the exact per-fold regularisation of the linear models;
+* grid search works over a precomputed stratified ``fold`` column: all linear problems of a grid are solved
+  together (``linear_many``), all forest points come from few fits by rewriting (``forest``);
 * metrics are the DataFrame aggregates of ``operators.metrics``; only one-row results and
   model-sized objects (coefficients, best parameters) reach the driver.
 """
@@ -14,15 +14,17 @@ from __future__ import annotations
 
 import json
 import time
-from dataclasses import dataclass, field
-from typing import Optional
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
+from typing import Callable, Optional
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import (LinearSVCModel, LogisticRegression, LogisticRegressionModel, RandomForestClassifier)
+from pyspark.ml.common import _py2java
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,13 +33,16 @@ from opinio.operators.metrics import classification_metrics, classification_repo
 from opinio.operators.sampling import assign_folds, sample_n, stratified_split
 from opinio.options import TrainOptions
 from opinio.plans.features import fit_feature_pipeline, vocabulary_of
+from opinio.plans.forest import grid_counts, read_trees, rewrite
+from opinio.plans.kernel import NystroemFeatures, candidate_rows, resolve_gamma, unexplained
+from opinio.plans.linear_many import LinearFit, fit_many, grid_problems, held_out_counts, held_out_margins, pack_blocks
 from opinio.plans.runs import log_run, save_eval_results, save_model
 from opinio.session import checkpoint_root
 
 MAX_RF_DEPTH = 30  # Spark's limit stands in for "no limit"
-# The reference estimators' default stopping tolerances.
+# Fixed value: the reference estimator's default stopping tolerance, the largest component of the gradient of the mean
+# loss.
 LR_TOL = 1e-4
-SVM_TOL = 1e-3
 
 
 @dataclass
@@ -62,10 +67,6 @@ class TrainResult:
     test_metrics: Optional[dict] = None
 
 
-def _fold_size(n_train: int, k: int) -> float:
-    return max(n_train * (k - 1) / k, 1.0)
-
-
 def logistic_regression(C: float = 1.0, n: float = 1.0, max_iter: int = 1000) -> LogisticRegression:
     """M1: the penalised objective ``0.5 |w|^2 + C sum(logloss)`` equals Spark's
     ``mean(logloss) + regParam / 2 |w|^2`` with ``regParam = 1 / (C n)`` and no standardisation."""
@@ -73,31 +74,6 @@ def logistic_regression(C: float = 1.0, n: float = 1.0, max_iter: int = 1000) ->
                               elasticNetParam=0.0, standardization=False, fitIntercept=True, tol=LR_TOL)
 
 
-def model_grid(name: str, options: TrainOptions, n_fit: float):
-    """Estimator and parameter maps for one configured model."""
-    if name == "logistic_regression":
-        est = logistic_regression(1.0, n_fit, options.lr_max_iter)
-        grid = ParamGridBuilder().addGrid(est.regParam, [1.0 / (c * n_fit) for c in options.lr_c]).build()
-        return est, grid
-    if name == "svm":
-        est = LinearSVC(featuresCol="features", labelCol="label", maxIter=options.svm_max_iter, standardization=False,
-                        rawPredictionCol="svm_raw", tol=SVM_TOL)
-        grid = ParamGridBuilder().addGrid(est.regParam, [1.0 / (c * n_fit) for c in options.svm_c]).build()
-        return est, grid
-    if name == "random_forest":
-        est = RandomForestClassifier(featuresCol="features", labelCol="label", featureSubsetStrategy="sqrt",
-                                     seed=options.seed)
-        depths = [MAX_RF_DEPTH if d is None else d for d in options.rf_depths]
-        grid = (ParamGridBuilder().addGrid(est.numTrees, list(options.rf_trees)).addGrid(est.maxDepth, depths)
-                .addGrid(est.minInstancesPerNode, list(options.rf_min_leaf)).build())
-        return est, grid
-    raise ValueError(f"no model is called {name!r}")
-
-
-def _param_dict(pm) -> dict:
-    return {p.name: v for p, v in pm.items()}
-
-
 def _platt() -> LogisticRegression:
     """M2 probabilities: a one-dimensional logistic regression on the SVM decision values."""
     return LogisticRegression(featuresCol="svm_raw", labelCol="label", regParam=1e-6, standardization=False,
@@ -130,126 +106,197 @@ def evaluation(model: PipelineModel, features: DataFrame) -> dict[str, DataFrame
             "report": classification_report(predictions), "matrix": confusion_matrix(predictions)}
 
 
-def _regularised(name: str, options: TrainOptions) -> bool:
-    return name in ("logistic_regression", "svm")
-
-
-def _grid_points(name: str, options: TrainOptions) -> list[dict]:
-    """Grid points in reference terms (``C`` for the linear models, Spark params for the forest)."""
-    if name == "logistic_regression":
-        return [{"C": c} for c in options.lr_c]
-    if name == "svm":
-        # The linear kernel ignores gamma, so it is fitted once per C.
-        points = []
-        for c in options.svm_c:
-            for kernel in options.svm_kernels:
-                if kernel == "linear":
-                    points.append({"C": c, "kernel": "linear"})
-                else:
-                    points += [{"C": c, "kernel": kernel, "gamma": g} for g in options.svm_gammas]
-        return points
-    _, grid = model_grid(name, options, 1.0)
-    return [_param_dict(pm) for pm in grid]
-
-
-def _estimator_for(name: str, options: TrainOptions, point: dict, n_fit: int, gammas: dict | None = None):
-    est, _ = model_grid(name, options, max(n_fit, 1))
-    if _regularised(name, options):
-        est = est.copy({est.regParam: 1.0 / (point["C"] * max(n_fit, 1))})
-        if point.get("kernel", "linear") == "rbf":
-            from opinio.plans.kernel import RandomFourierFeatures
-
-            rff = RandomFourierFeatures(inputCol="features", outputCol="rff", numComponents=options.rff_components,
-                                        gamma=(gammas or {})[point["gamma"]], seed=options.seed)
-            return Pipeline(stages=[rff, est.copy({est.featuresCol: "rff"})])
-        return est
-    return est.copy({est.getParam(k): v for k, v in point.items()})
-
-
-def _gammas(name: str, options: TrainOptions, train_features: DataFrame) -> dict:
-    """'scale' / 'auto' resolved once on the training split (one aggregate)."""
-    if name != "svm" or "rbf" not in options.svm_kernels:
-        return {}
-    from opinio.plans.kernel import resolve_gamma
-
-    return {g: resolve_gamma(g, train_features) for g in options.svm_gammas}
-
-
-def grid_search_cv(name: str, options: TrainOptions, train_features: DataFrame) -> list[tuple[dict, float]]:
-    """M4: every (grid point, fold) fit runs concurrently on one thread pool (``parallelism``);
-    each fold's training rows are a filter of the persisted, fold-tagged table.  The linear models
-    get the exact per-fold regularisation ``1 / (C * n_fold)``.  Returns the mean binary F1 of the
-    positive class per grid point, in grid order."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    k = options.cv_folds
-    sizes = {r["fold"]: r["count"] for r in train_features.groupBy("fold").count().collect()}
-    evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                                  metricName="fMeasureByLabel", metricLabel=1.0)
-    points = _grid_points(name, options)
-    gammas = _gammas(name, options, train_features)
-    # Random features depend on gamma only: computed once per gamma and persisted, not per fit.
-    rff_tables = {}
-    if gammas:
-        from opinio.plans.kernel import RandomFourierFeatures
-
-        for label, value in gammas.items():
-            rff = RandomFourierFeatures(inputCol="features", outputCol="rff", numComponents=options.rff_components,
-                                        gamma=value, seed=options.seed)
-            rff_tables[label] = rff.transform(train_features).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def run(job):
-        pi, fold = job
-        point = points[pi]
-        n_fit = sum(v for f, v in sizes.items() if f != fold)
-        est = _estimator_for(name, options, point, n_fit, gammas)
-        data = train_features
-        if point.get("kernel") == "rbf":
-            est, data = est.getStages()[1], rff_tables[point["gamma"]]
-        model = est.fit(data.where(F.col("fold") != fold))
-        return pi, evaluator.evaluate(model.transform(data.where(F.col("fold") == fold)))
-
-    jobs = [(pi, fold) for pi in range(len(points)) for fold in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, options.parallelism)) as pool:
-        results = list(pool.map(run, jobs))
-    for t in rff_tables.values():
-        t.unpersist()
-    sums = [0.0] * len(points)
-    for pi, score in results:
-        sums[pi] += float(score)
-    return [(points[i], sums[i] / k) for i in range(len(points))]
-
-
-def fit_model(name: str, options: TrainOptions, train_features: DataFrame, n_train: int):
-    """Grid search + k-fold CV (M4), then a refit of the best point on the whole training split."""
-    scored = grid_search_cv(name, options, train_features)
-    best_i = max(range(len(scored)), key=lambda i: (scored[i][1], -i))
-    point, cv_f1 = scored[best_i]
-    est = _estimator_for(name, options, point, n_train, _gammas(name, options, train_features))
-    model = Pipeline(stages=[est]).fit(train_features)
-    params = dict(point)
-    if name == "svm":
-        # Probabilities are fitted on scores of rows that the scoring machine has not seen.
-        unseen = None
-        for fold in range(options.cv_folds):
-            part = (est.fit(train_features.where(F.col("fold") != fold))
-                    .transform(train_features.where(F.col("fold") == fold)).select("svm_raw", "label"))
-            unseen = part if unseen is None else unseen.unionAll(part)
-        model = PipelineModel(stages=[*model.stages, _platt().fit(unseen)])
-    if name in ("svm", "logistic_regression"):
-        linear = next(s for s in _flat(model) if hasattr(s, "summary") and callable(getattr(s, "summary", None)) or
-                      getattr(s, "hasSummary", False))
-        summary = linear.summary() if callable(linear.summary) else linear.summary
-        params["iterations"] = summary.totalIterations
-        params["converged"] = summary.totalIterations < (options.svm_max_iter if name == "svm" else options.lr_max_iter)
-    return model, float(cv_f1), params
-
-
-def _flat(model: PipelineModel) -> list:
-    return [x for s in model.stages for x in (_flat(s) if isinstance(s, PipelineModel) else [s])]
-
-
-def cv_scores(options: TrainOptions, train_features: DataFrame, n_train: int, name: str = "logistic_regression"):
+@dataclass
+class Scored:
+    """A grid point with the mean over the folds of its binary F1, and how to build its model of all training rows
+    (which returns the classifier stages and what is to be recorded of them)."""
+
+    point: dict
+    f1: float
+    build: Callable[[], tuple[PipelineModel, dict]]
+
+
+def _mean_f1(counts) -> float:
+    """Mean of the positive class's F1 over rows ``(true positives, false positives, false negatives)``."""
+    scores = [2.0 * tp / (2.0 * tp + fp + fn) if tp else 0.0 for tp, fp, fn in counts]
+    return float(sum(scores) / len(scores)) if len(scores) else 0.0
+
+
+def _spark_model(kind, java_name: str, fit: LinearFit, spark: SparkSession, **params):
+    """An ordinary Spark model of solved coefficients."""
+    make = getattr(spark._jvm.org.apache.spark.ml.classification, java_name)
+    model = kind(make(f"{java_name}_{uuid.uuid4().hex[:12]}", _py2java(spark.sparkContext, Vectors.dense(fit.coefficients)),
+                      float(fit.intercept)))
+    return model._set(**params)
+
+
+class GridSearch:
+    """M4: the grids of the configured models over one fold-tagged feature table.
+
+    Logistic and linear hinge problems - every C, on all rows and without each fold - are solved together as the
+    columns of one matrix; the rbf machines likewise per gamma, on landmark features.  Forests are fitted once per
+    ``rf_min_leaf`` and fold and hold all other points.  All scores come from one pass each over the held-out rows;
+    only counts and coefficients reach the driver."""
+
+    LOSSES = {"logistic_regression": "logistic", "svm": "hinge"}
+
+    def __init__(self, options: TrainOptions, features: DataFrame, id_col: str = "doc_id"):
+        self.options, self.features, self.id_col = options, features, id_col
+        self.spark = features.sparkSession
+        size = F.unwrap_udt("features")
+        self.dimension = int(features.agg(F.max(F.coalesce(size["size"], F.size(size["values"])))).head()[0] or 0)
+        self._solved: dict = {}
+
+    def search(self, name: str) -> list[Scored]:
+        if name == "random_forest":
+            return self._forests()
+        if name not in self.LOSSES:
+            raise ValueError(f"no model is called {name!r}")
+        if name == "logistic_regression":
+            return [self._logistic(c) for c in self.options.lr_c]
+        return [self._machine(c, kernel, gamma) for c in self.options.svm_c for kernel in self.options.svm_kernels
+                for gamma in ((None,) if kernel == "linear" else self.options.svm_gammas)]
+
+    # -- linear machines -------------------------------------------------------------------
+
+    def _solve(self, table: DataFrame, wanted: dict[str, tuple], features_col: str, dimension: int, dense: bool) -> dict:
+        """Per (loss, C): counts of the held-out folds, fits by fold (None: all rows), and for hinge problems the
+        out-of-fold margins' calibration is left to ``_machine``."""
+        o = self.options
+        blocks = pack_blocks(table, features_col, dense=dense)
+        problems = [p for loss, cs in wanted.items() for p in grid_problems(loss, cs, o.cv_folds)]
+        fits = fit_many(blocks, problems, dimension, LR_TOL, max(o.lr_max_iter, o.svm_max_iter))
+        counts = held_out_counts(blocks, problems, fits).T
+        out: dict = {}
+        for p, fit, n in zip(problems, fits, counts):
+            entry = out.setdefault((p.loss, p.C), {"fits": {}, "counts": [], "blocks": blocks})
+            entry["fits"][p.held_out] = fit
+            if p.held_out is not None:
+                entry["counts"].append(n.tolist())
+        return out
+
+    def _linear(self, loss: str, c: float) -> dict:
+        if "linear" not in self._solved:
+            o = self.options
+            wanted = {"logistic": o.lr_c} if "logistic_regression" in o.models else {}
+            if "svm" in o.models and "linear" in o.svm_kernels:
+                wanted["hinge"] = o.svm_c
+            self._solved["linear"] = self._solve(self.features, wanted, "features", self.dimension, dense=False)
+        return self._solved["linear"][loss, c]
+
+    def _kernel(self, gamma) -> tuple[dict, NystroemFeatures, float]:
+        """Solved problems of one gamma, the landmark stage, and the share of the kernel it leaves unexplained."""
+        if gamma not in self._solved:
+            o = self.options
+            if "candidates" not in self._solved:
+                self._solved["candidates"] = candidate_rows(self.features, self.id_col, o.seed)
+            rows, d = self._solved["candidates"]
+            stage = NystroemFeatures(gamma=resolve_gamma(gamma, self.features)).fit_landmarks(rows, d, o.svm_landmarks)
+            table = stage.transform(self.features).drop("features").persist(StorageLevel.MEMORY_AND_DISK)
+            solved = self._solve(table, {"hinge": o.svm_c}, "nystroem", stage.whiten.shape[1], dense=True)
+            self._solved[gamma] = solved, stage, unexplained(table), table
+        return self._solved[gamma][:3]
+
+    @staticmethod
+    def _facts(fit: LinearFit) -> dict:
+        return {"iterations": fit.iterations, "converged": fit.converged}
+
+    def _logistic(self, c: float) -> Scored:
+        solved = self._linear("logistic", c)
+
+        def build():
+            fit = solved["fits"][None]
+            return PipelineModel(stages=[_spark_model(LogisticRegressionModel, "LogisticRegressionModel", fit, self.spark)]), self._facts(fit)
+
+        return Scored({"C": c}, _mean_f1(solved["counts"]), build)
+
+    def _machine(self, c: float, kernel: str, gamma) -> Scored:
+        facts, first, col = {}, [], "features"
+        if kernel == "linear":
+            solved = self._linear("hinge", c)
+        else:
+            table, stage, rest = self._kernel(gamma)
+            solved, first, col = table["hinge", c], [stage], "nystroem"
+            facts = {"nystroem_landmarks": len(stage.landmarks), "nystroem_unexplained": rest}
+
+        def build():
+            fit = solved["fits"][None]
+            machine = _spark_model(LinearSVCModel, "LinearSVCModel", fit, self.spark, featuresCol=col, rawPredictionCol="svm_raw")
+            # Probabilities are fitted on margins of rows that the scoring machine has not seen.
+            margins = held_out_margins(solved["blocks"], {k: f for k, f in solved["fits"].items() if k is not None})
+            unseen = margins.select(array_to_vector(F.array(-F.col("margin"), F.col("margin"))).alias("svm_raw"), "label")
+            return PipelineModel(stages=[*first, machine, _platt().fit(unseen)]), facts | self._facts(fit)
+
+        point = {"C": c, "kernel": kernel} | ({} if kernel == "linear" else {"gamma": gamma})
+        return Scored(point, _mean_f1(solved["counts"]), build)
+
+    # -- forests ---------------------------------------------------------------------------
+
+    def _forest(self, min_leaf: int, rows: DataFrame):
+        o = self.options
+        return RandomForestClassifier(
+            featuresCol="features", labelCol="label", featureSubsetStrategy="sqrt", seed=o.seed, numTrees=max(o.rf_trees),
+            maxDepth=max(MAX_RF_DEPTH if d is None else d for d in o.rf_depths), minInstancesPerNode=min_leaf).fit(rows)
+
+    def _forests(self) -> list[Scored]:
+        o = self.options
+        depths = [MAX_RF_DEPTH if d is None else d for d in o.rf_depths]
+        points = [(t, d, s) for t in o.rf_trees for d in depths for s in o.rf_min_split]
+
+        def one(job):
+            leaf, fold = job
+            if fold is None:
+                return self._forest(leaf, self.features)
+            trees = read_trees(self._forest(leaf, self.features.where(F.col("fold") != fold)), self.spark)
+            return grid_counts(trees, self.features.where(F.col("fold") == fold), points)
+
+        jobs = [(leaf, fold) for leaf in o.rf_min_leaf for fold in (None, *range(o.cv_folds))]
+        with ThreadPoolExecutor(max_workers=max(1, o.parallelism)) as pool:
+            counts = dict(zip(jobs, pool.map(one, jobs)))
+
+        def scored(t: int, d: int, s: int, leaf: int) -> Scored:
+            def build():
+                forest = rewrite(counts[leaf, None], t, d, s)
+                return PipelineModel(stages=[forest]), {"nodes": forest.totalNumNodes}
+
+            k = points.index((t, d, s))
+            return Scored({"numTrees": t, "maxDepth": d, "minSplit": s, "minInstancesPerNode": leaf},
+                          _mean_f1([counts[leaf, fold][k].tolist() for fold in range(o.cv_folds)]), build)
+
+        return [scored(*p, leaf) for p in points for leaf in o.rf_min_leaf]
+
+    def close(self) -> None:
+        """Free the blocks and tables that the executors hold."""
+        for solved in self._solved.values():
+            for entry in (solved[0] if isinstance(solved, tuple) and isinstance(solved[0], dict) else solved if isinstance(solved, dict) else {}).values():
+                entry["blocks"].unpersist()
+            if isinstance(solved, tuple) and len(solved) == 4:
+                solved[3].unpersist()
+        self._solved = {}
+
+
+def grid_search_cv(name: str, options: TrainOptions, train_features: DataFrame, id_col: str = "doc_id") -> list[tuple[dict, float]]:
+    """M4: the mean binary F1 of the positive class per grid point, in grid order."""
+    search = GridSearch(replace(options, models=(name,)), train_features, id_col)
+    out = [(s.point, s.f1) for s in search.search(name)]
+    search.close()
+    return out
+
+
+def fit_model(name: str, options: TrainOptions, train_features: DataFrame, id_col: str = "doc_id",
+              search: Optional[GridSearch] = None):
+    """Grid search + k-fold CV (M4), then the best point's model of the whole training split."""
+    own = search is None
+    search = search or GridSearch(replace(options, models=(name,)), train_features, id_col)
+    scored = search.search(name)
+    best = max(scored, key=lambda s: s.f1)  # the first of equals
+    model, facts = best.build()
+    if own:
+        search.close()
+    return model, best.f1, {**best.point, "grid_points": len(scored), **facts}
+
+
+def cv_scores(options: TrainOptions, train_features: DataFrame, name: str = "logistic_regression"):
     """Per grid point: mean binary F1 over the folds (M4)."""
     return grid_search_cv(name, options, train_features)
 
@@ -303,13 +350,14 @@ def train(spark: SparkSession, reviews: DataFrame, options: TrainOptions = Train
     n_terms = len(vocabulary_of(fmodel)) if runs_path else None
     results: dict = {}
     best_name, best_score = None, 0.0
+    search = GridSearch(options, train_f, id_col)
     for name in options.models:
         t0 = time.time()
         try:
             if fitted and name in fitted:
                 model, cv_f1, params, seconds = fitted[name]
             else:
-                model, cv_f1, params = fit_model(name, options, train_f, n_train)
+                model, cv_f1, params = fit_model(name, options, train_f, id_col, search)
                 seconds = time.time() - t0
             val = evaluate(model, val_f)
             res = ModelResult(name, "ok", cv_f1, params, val, seconds, model)
@@ -327,6 +375,7 @@ def train(spark: SparkSession, reviews: DataFrame, options: TrainOptions = Train
                     tags={"status": res.status, **({"error": res.error} if res.error else {})})
         if res.status == "ok" and res.val_metrics.get("f1", 0.0) > best_score:
             best_name, best_score = name, res.val_metrics["f1"]
+    search.close()
     full = None
     test_metrics = None
     if best_name is not None:

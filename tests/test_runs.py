@@ -20,7 +20,7 @@ def reviews(spark):
 
 def test_run_loop(spark, reviews, tmp_path):
     options = TrainOptions(features=FeatureOptions(min_df=1), lr_c=(1.0, 10.0), svm_c=(1.0,), svm_kernels=("linear",), rf_trees=(20,),
-                           rf_depths=(5,), rf_min_leaf=(1,), cv_folds=3, svm_max_iter=200)
+                           rf_depths=(5,), rf_min_leaf=(1,), rf_min_split=(2,), cv_folds=3, svm_max_iter=200)
     path = str(tmp_path / "runs")
     result = tr.train(spark, reviews, options, runs_path=path)
     assert {n: r.status for n, r in result.results.items()} == dict.fromkeys(options.models, "ok"), [r.error for r in result.results.values()]
