@@ -5,8 +5,8 @@ Plan shape:
 * fit: every document gives its terms, its distinct terms and itself as rows; one ``groupBy(term)`` with
   map-side partial aggregation counts them all, so a term of a third of all documents arrives as one partial row
   per task, and no text moves;
-* transform: terms outside the vocabulary are dropped right after the explode, the rest are counted per
-  document before they move.  The vocabulary is a table; Spark broadcasts it where it measures it as small.
+* transform: a document's terms are counted and weighted as a sparse vector inside its row, so nothing is shuffled;
+  only a vocabulary beyond the size of a model is joined with the exploded terms.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from __future__ import annotations
 from numbers import Integral
 from typing import Optional, Sequence
 
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,12 @@ from opinio.functions.text import ngrams, vector_tokens
 from opinio.options import FeatureOptions
 from opinio.session import scratch_path
 
+#: Most terms of a vocabulary that is carried inside a model (collected, and sent to every executor).
+MAX_MODEL_VOCABULARY = 2_000_000
+#: Rows of one range when positions are numbered.
+RANGE_ROWS = 500_000
+
+
 def resolve_stop_words(spark: SparkSession, options: FeatureOptions) -> tuple[str, ...]:
     return ENGLISH_STOP_WORDS if options.stop_words is None else tuple(options.stop_words)
 
@@ -42,10 +50,10 @@ def with_feature_terms(df: DataFrame, text_col: str, options: FeatureOptions, st
 
 def doc_term_counts(df: DataFrame, id_col: str, text_col: str, options: FeatureOptions,
                     stop_words: Sequence[str], vocab: DataFrame) -> DataFrame:
-    """``(id, term, idf, idx, tf)`` of the vocabulary's terms — raw counts, or 1 when ``options.binary``.
+    """``(id, term, idf, idx, tf)`` of the vocabulary's terms — raw counts, or 1 when ``options.binary`` — for
+    vocabularies that are too large to be part of a model.
 
-    Unseen terms are dropped right after the explode, and a document's terms are counted before they move, as it
-    lies in one partition: what is shuffled is one narrow row per document and known term.
+    Terms are exploded, joined with the vocabulary and counted per document.
     ``explode_outer`` + a null filter: a plain ``explode`` makes the optimizer infer a ``size(terms) > 0``
     filter and push it with the n-gram expression inlined.
     """
@@ -58,6 +66,32 @@ def doc_term_counts(df: DataFrame, id_col: str, text_col: str, options: FeatureO
     return counts
 
 
+def in_row_weights(df: DataFrame, id_col: str, text_col: str, options: FeatureOptions, stop_words: Sequence[str],
+                   vocab: DataFrame, use_idf: bool, normalize: bool) -> DataFrame:
+    """``(id, term, idx, tf, weight)`` without moving a document: its terms are counted, weighted and normalised as one
+    sparse vector inside the row, and only then written out as rows.  The vocabulary (checked to be model-sized)
+    travels with the vectoriser; the term of an index comes from a broadcast of the same rows."""
+    rows = [(r["term"], float(r["idf"])) for r in vocab.select("term", "idf", "idx").orderBy("idx").collect()]
+    staged = with_feature_terms(df.select(id_col, text_col), text_col, options, stop_words)
+    if not rows:
+        kind = df.schema[id_col].dataType.simpleString()
+        return df.sparkSession.createDataFrame([], f"{id_col} {kind}, term string, idx int, tf long, weight double")
+    count = CountVectorizerModel.from_vocabulary([t for t, _ in rows], inputCol="_terms", outputCol="_tf", binary=options.binary)
+    # A null text has no terms.
+    out, last = count.transform(staged.withColumn("_terms", F.coalesce("_terms", F.array().cast("array<string>")))), "_tf"
+    if use_idf:
+        idf = Vectors.dense([w for _, w in rows])
+        out, last = ElementwiseProduct(scalingVec=idf, inputCol=last, outputCol="_idf").transform(out), "_idf"
+    if normalize:
+        out, last = Normalizer(p=2.0, inputCol=last, outputCol="_norm").transform(out), "_norm"
+    tf, weight = F.unwrap_udt("_tf"), F.unwrap_udt(last)
+    # ``outer``: else the optimizer infers a filter on the vectors' sizes and computes them twice.
+    entries = F.arrays_zip(tf["indices"].alias("idx"), tf["values"].alias("tf"), weight["values"].alias("weight"))
+    flat = out.select(id_col, F.inline_outer(entries)).toDF(id_col, "idx", "tf", "weight").where(F.col("idx").isNotNull())
+    names = df.sparkSession.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "idx int, term string")
+    return flat.join(F.broadcast(names), "idx").select(id_col, "term", "idx", F.col("tf").cast("long"), "weight")
+
+
 def term_stats(df: DataFrame, text_col: str, options: FeatureOptions, stop_words: Sequence[str]) -> DataFrame:
     """``(term, df, cf)`` and, under the null term, the number of documents as ``df``: one pass, one shuffle of
     partial counts.  Each document contributes its terms, its distinct terms and itself, row by row."""
@@ -81,15 +115,20 @@ def _doc_count_limit(value, n_docs: Column) -> Column:
 
 
 def range_index(df: DataFrame, col: str, index_col: str = "idx") -> DataFrame:
-    """0-based position of each row by ``col`` ascending: rows are range-partitioned by ``col``, numbered inside
-    their partition, and shifted by the sizes of the partitions before (one small row each).  The ranges are
-    written once, so numbers and sizes come from the same partitions."""
+    """0-based position of each row by ``col`` ascending: rows are range-partitioned by ``col`` into as many ranges as
+    their number asks for, numbered inside their range, and shifted by the sizes of the ranges before (one small row
+    each).  Rows and ranges are written once, so numbers and sizes come from the same ones."""
     spark = df.sparkSession
     path = scratch_path(spark, "ranges")
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, col).withColumn("_p", F.spark_partition_id())
-    ranged.write.parquet(path)
-    ranged = spark.read.schema(ranged.schema).parquet(path)
+    df.write.parquet(f"{path}/rows")
+    rows = spark.read.schema(df.schema).parquet(f"{path}/rows")
+    n = max(1, -(-rows.count() // RANGE_ROWS))
+    if n == 1:  # one sorted range: its numbers are the positions
+        inside = Window.partitionBy("_p").orderBy(col)
+        one = rows.coalesce(1).withColumn("_p", F.lit(0))
+        return one.withColumn(index_col, (F.row_number().over(inside) - 1).cast("int")).drop("_p")
+    rows.repartitionByRange(n, col).withColumn("_p", F.spark_partition_id()).write.parquet(f"{path}/ranges")
+    ranged = spark.read.parquet(f"{path}/ranges")
     sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -128,13 +167,17 @@ def tfidf(df: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
     """``(id, term, tf, weight)`` for the known terms of each document.
 
     tfidf: ``w = tf * idf``, divided by the document's L2 norm; count: ``w = tf``.  A document with
-    no known term has no rows (its vector is all zeros).
+    no known term has no rows (its vector is all zeros).  Every row of ``df`` is a document.  A vocabulary of more than
+    ``MAX_MODEL_VOCABULARY`` terms is joined instead of carried along; ids must be unique then.
     """
     spark = df.sparkSession
     stops = resolve_stop_words(spark, options) if stop_words is None else tuple(stop_words)
     is_tfidf = options.vectorizer_type.lower() == "tfidf"
     use_idf = is_tfidf if use_idf is None else use_idf
     normalize = is_tfidf if normalize is None else normalize
+    n_terms = vocab.count()
+    if n_terms <= MAX_MODEL_VOCABULARY:
+        return in_row_weights(df, id_col, text_col, options, stops, vocab, use_idf, normalize)
     out = doc_term_counts(df, id_col, text_col, options, stops, vocab)
     w = F.col("tf") * F.col("idf") if use_idf else F.col("tf").cast("double")
     out = out.withColumn("weight", w)

@@ -24,11 +24,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
 from opinio.functions.text import clean_text
-from opinio.operators.vocabulary import fit_vocabulary, resolve_stop_words, with_feature_terms
+from opinio.operators.vocabulary import MAX_MODEL_VOCABULARY, fit_vocabulary, resolve_stop_words, with_feature_terms
 from opinio.options import CleanOptions, FeatureOptions
 
-MAX_MODEL_VOCABULARY = 2_000_000
-
 
 class TextCleaner(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """T12 as a pipeline stage: native Column expressions, saved with the pipeline (fixes D2)."""

@@ -52,3 +52,25 @@ def test_label_encode_numeric_order(spark):
     df = spark.createDataFrame([(10,), (2,), (2,)], "y int")
     enc, classes = vc.label_encode(df, "y", "k")
     assert {r.y: r.k for r in classes.collect()} == {2: 0, 10: 1}
+
+
+def test_joined_and_in_row_weights_agree(spark, monkeypatch):
+    """The way of a vocabulary beyond the size of a model gives the same rows."""
+    rows = [(1, "good film good plot"), (2, "bad film"), (3, ""), (4, None), (5, "unseen words only"), (6, "good bad good bad film")]
+    docs = spark.createDataFrame(rows, "doc_id long, review_processed string")
+    for opts in (FeatureOptions(min_df=2), FeatureOptions(min_df=2, vectorizer_type="count"),
+                 FeatureOptions(min_df=2, vectorizer_type="count", binary=True)):
+        vocab = vc.fit_vocabulary(docs, "doc_id", "review_processed", opts).persist()
+        got = []
+        for bound in (2_000_000, 0):
+            monkeypatch.setattr(vc, "MAX_MODEL_VOCABULARY", bound)
+            out = vc.tfidf(docs, vocab, "doc_id", "review_processed", opts)
+            got.append(sorted((r.doc_id, r.term, r.idx, r.tf, round(r.weight, 12)) for r in out.collect()))
+        assert got[0] == got[1] and {r[0] for r in got[0]} == {1, 2, 6}
+    assert vc.tfidf(docs, vocab.limit(0), "doc_id", "review_processed", opts).count() == 0
+
+
+def test_positions_over_several_ranges(spark, monkeypatch):
+    monkeypatch.setattr(vc, "RANGE_ROWS", 7)
+    out = vc.range_index(spark.createDataFrame([(f"t{i:03}",) for i in range(40)], "term string"), "term")
+    assert sorted((r.term, r.idx) for r in out.collect()) == [(f"t{i:03}", i) for i in range(40)]

@@ -25,9 +25,13 @@ def test_split_window_is_partitioned(spark):
             assert "_bucket" in line
 
 
-def test_tfidf_broadcasts_bounded_vocabulary(spark):
-    plan = _plan(e.queries()["tfidf"](spark, SF_SMALL))
+@pytest.mark.parametrize("name", ["tfidf", "term_counts", "term_binary"])
+def test_feature_rows_are_not_shuffled(spark, name):
+    """Documents are dealt out once where their file has too few partitions; no exploded term is exchanged."""
+    plan = _plan(e.queries()[name](spark, SF_SMALL))
     assert "EvalPython" not in plan
+    above_generate = plan[:plan.index("Generate")]
+    assert "Exchange hashpartitioning" not in plan and "Exchange" not in above_generate.replace("BroadcastExchange", "")
 
 
 @pytest.mark.parametrize("name", ["stream_scores", "score_file", "stem_tokens", "event_windows"])
