@@ -29,6 +29,25 @@ def split_counts(df: DataFrame, label_col: str = "sentiment", split_col: str = "
     )
 
 
+def split_report(df: DataFrame, label_col: str = "sentiment", split_col: str = "split") -> DataFrame:
+    """A3 / A4 in one aggregate: rows of the whole table, of each split and of each class in it, by ``ROLLUP(split,
+    label)``.
+
+    ``level`` is 0 for the table, 1 for a split, 2 for a class; a null split or label is a group of its own, told from
+    a total by its level.  ``share_of_parent`` is the part of the level above (the table's is 1), ``share_of_all`` of
+    all rows.  The shares come from the aggregated rows, of which there are as many as classes times splits."""
+    level = F.lit(2) - F.bit_count(F.grouping_id())
+    rows = df.rollup(split_col, label_col).agg(F.count(F.lit(1)).alias("rows"), level.cast("int").alias("level"))
+    parents = rows.select((F.col("level") + 1).alias("_l"), F.col(split_col).alias("_s"), F.col("rows").alias("_n")).where(F.col("_l") < 3)
+    total = rows.where(F.col("level") == 0).select(F.col("rows").alias("_all"))
+    same = (F.col("level") == F.col("_l")) & ((F.col("level") == 1) | F.col(split_col).eqNullSafe(F.col("_s")))
+    # All sides are class-sized.
+    out = rows.join(F.broadcast(parents), same, "left").withColumn("_all", total.scalar())
+    part = F.col("rows") / F.coalesce("_n", "rows")
+    return out.select("level", split_col, label_col, "rows", F.round(part, 9).alias("share_of_parent"),
+                      F.round(F.col("rows") / F.col("_all"), 9).alias("share_of_all"))
+
+
 def word_counts(processed: Column) -> Column:
     """Whitespace word count of a processed text; empty text has 0 words."""
     words = F.split(F.trim(processed), " +")

@@ -17,7 +17,7 @@ Scale design (one class may hold a third of all rows):
 from __future__ import annotations
 
 import math
-from typing import Optional
+from typing import Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,14 +89,15 @@ def split_quotas(class_counts: dict, options: SplitOptions = SplitOptions()) ->
     return {k: (test[k], val[k], train[k]) for k in class_counts}
 
 
-def _cut_keys(narrow: DataFrame, cells: dict, label_col: str, id_col: str, quotas: dict) -> list[tuple]:
-    """Per class the (key, id) of the last test row and of the last val row, in one job over the boundary buckets.
+def _cut_keys(narrow: DataFrame, cells: dict, label_col: str, id_col: str, cuts: dict) -> dict:
+    """``{(label, n): (key, id)}`` of the row at the n-th wanted rank of each class (``cuts``: class -> ranks), in one
+    job over the boundary buckets.
 
-    ``cells`` holds the rows per (class, bucket); a cut falls into one bucket of its class, and only the rows of
-    these buckets are ranked, each bucket by its own task.  Two rows per class come back."""
+    ``cells`` holds the rows per (class, bucket); a rank falls into one bucket of its class, and only the rows of
+    these buckets are ranked, each bucket by its own task.  One row per class and rank comes back."""
     wanted = []
-    for label, (n_test, n_val, _) in quotas.items():
-        for cut, rank in ((0, n_test), (1, n_test + n_val)):
+    for label, ranks in cuts.items():
+        for cut, rank in enumerate(ranks):
             start = 0
             for bucket in sorted(cells[label]):
                 if start < rank <= start + cells[label][bucket]:
@@ -104,13 +105,41 @@ def _cut_keys(narrow: DataFrame, cells: dict, label_col: str, id_col: str, quota
                     break
                 start += cells[label][bucket]
     if not wanted:
-        return []
+        return {}
     kind = narrow.schema[label_col].dataType.simpleString()
-    cuts = narrow.sparkSession.createDataFrame(wanted, f"{label_col} {kind}, _bucket string, _cut int, _at long")
+    table = narrow.sparkSession.createDataFrame(wanted, f"{label_col} {kind}, _bucket string, _cut int, _at long")
     w = Window.partitionBy(label_col, "_bucket", "_cut").orderBy("_key", id_col)
-    found = (narrow.join(F.broadcast(cuts), [label_col, "_bucket"]).withColumn("_r", F.row_number().over(w))
+    found = (narrow.join(F.broadcast(table), [label_col, "_bucket"]).withColumn("_r", F.row_number().over(w))
              .where(F.col("_r") == F.col("_at")))
-    return [tuple(r) for r in found.select(label_col, "_cut", "_key", id_col).collect()]
+    return {(label, cut): (key, i) for label, cut, key, i in found.select(label_col, "_cut", "_key", id_col).collect()}
+
+
+def _narrow_keys(df: DataFrame, label_col: str, id_col: str, seed: int, digits: int) -> tuple[DataFrame, dict]:
+    """The written ``(label, id, key, bucket)`` table of ``df``, and its rows per class and bucket."""
+    keyed = _keyed(df.select(label_col, id_col), id_col, seed, digits)
+    path = scratch_path(df.sparkSession, "split-keys")
+    keyed.write.parquet(path)
+    narrow = df.sparkSession.read.schema(keyed.schema).parquet(path)
+    cells: dict = {}
+    for label, bucket, n in narrow.groupBy(label_col, "_bucket").count().collect():
+        cells.setdefault(label, {})[bucket] = n
+    return narrow, cells
+
+
+def _by_cuts(df: DataFrame, label_col: str, id_col: str, seed: int, cells: dict, found: dict, names: Sequence, col: str) -> DataFrame:
+    """``df`` with ``col``: the name of the first cut of its class that a row does not lie beyond, by ``(key, id)``.
+    One small row per class is broadcast; rows stay where they are."""
+    kinds = {c: df.schema[c].dataType.simpleString() for c in (label_col, id_col)}
+    n = len(names) - 1
+    rows = [(k, *(x for c in range(n) for x in found.get((k, c), ("", None)))) for k in cells]
+    schema = f"_l {kinds[label_col]}" + "".join(f", _k{c} string, _i{c} {kinds[id_col]}" for c in range(n))
+    key = order_key(id_col, seed)
+    out = F.lit(names[-1])
+    for c in reversed(range(n)):
+        upto = (key < F.col(f"_k{c}")) | ((key == F.col(f"_k{c}")) & (F.col(id_col) <= F.col(f"_i{c}")))
+        out = F.when(upto, F.lit(names[c])).otherwise(out)
+    table = df.sparkSession.createDataFrame(rows, schema)
+    return df.join(F.broadcast(table), F.col(label_col) == F.col("_l")).withColumn(col, out).select(*df.columns, col)
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str,
@@ -122,31 +151,30 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str,
     One pass writes the narrow ``(id, label, key)`` table; its bucket counts (classes x buckets values) give the
     quotas, and the two boundary keys of each class follow from the boundary buckets.  The rows themselves are
     then read once and compared with their class's keys: no shuffle, no window over texts."""
-    spark = df.sparkSession
-    keyed = _keyed(df.select(label_col, id_col), id_col, options.seed, options.bucket_hex_digits)
-    path = scratch_path(spark, "split-keys")
-    keyed.write.parquet(path)
-    narrow = spark.read.schema(keyed.schema).parquet(path)
-    cells: dict = {}
-    for label, bucket, n in narrow.groupBy(label_col, "_bucket").count().collect():
-        cells.setdefault(label, {})[bucket] = n
+    narrow, cells = _narrow_keys(df, label_col, id_col, options.seed, options.bucket_hex_digits)
     if None in cells:
         raise ValueError("null label in stratified split")
     quotas = split_quotas({k: sum(v.values()) for k, v in cells.items()}, options)
-    last = {(label, cut): (key, i) for label, cut, key, i in _cut_keys(narrow, cells, label_col, id_col, quotas)}
-    kinds = {c: df.schema[c].dataType.simpleString() for c in (label_col, id_col)}
-    table = spark.createDataFrame(
-        [(k, *last.get((k, 0), ("", None)), *last.get((k, 1), ("", None))) for k in quotas],
-        f"_l {kinds[label_col]}, _k0 string, _i0 {kinds[id_col]}, _k1 string, _i1 {kinds[id_col]}")
-    key = order_key(id_col, options.seed)
-
-    def upto(n: int) -> Column:
-        return (key < F.col(f"_k{n}")) | ((key == F.col(f"_k{n}")) & (F.col(id_col) <= F.col(f"_i{n}")))
-
-    split = F.when(upto(0), F.lit("test")).when(upto(1), F.lit("val")).otherwise(F.lit("train"))
-    # One row per class.
-    return (df.join(F.broadcast(table), F.col(label_col) == F.col("_l")).withColumn(split_col, split)
-            .select(*df.columns, split_col))
+    cuts = {k: (n_test, n_test + n_val) for k, (n_test, n_val, _) in quotas.items()}
+    found = _cut_keys(narrow, cells, label_col, id_col, cuts)
+    return _by_cuts(df, label_col, id_col, options.seed, cells, found, ("test", "val", "train"), split_col)
+
+
+def fold_ranges(df: DataFrame, label_col: str, id_col: str, k: int = 5, seed: int = 42, fold_col: str = "fold",
+                digits: int = 3) -> DataFrame:
+    """M4 folds without moving a row: stratified, the ranks of a class by ``(md5(id|seed), id)`` cut into k ranges,
+    ``fold = floor((rank - 1) * k / rows of the class)``; sizes differ by one at most.
+
+    As in ``stratified_split``, a narrow table of keys gives the k - 1 boundary keys of each class, and the rows are
+    compared with those of their class.  A null label is an error, an empty table gives no rows."""
+    narrow, cells = _narrow_keys(df, label_col, id_col, seed, digits)
+    if None in cells:
+        raise ValueError("null label in folds")
+    sizes = {label: sum(v.values()) for label, v in cells.items()}
+    # The last rank of each fold but the last: ranks r with floor((r - 1) * k / n) <= fold.
+    cuts = {label: [-(-(fold + 1) * n // k) for fold in range(k - 1)] for label, n in sizes.items()}
+    found = _cut_keys(narrow, cells, label_col, id_col, cuts)
+    return _by_cuts(df, label_col, id_col, seed, cells, found, tuple(range(k)), fold_col)
 
 
 def class_rank(df: DataFrame, label_col: Optional[str], id_col: str, seed: int,

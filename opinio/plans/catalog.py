@@ -257,6 +257,28 @@ def q_split_counts(spark, sf_dir):
     return pf.split_counts(split_reviews(spark, sf_dir), "sentiment")
 
 
+@query("split_report",
+       f"WITH {SPLIT_SQL}, g AS (SELECT split, sentiment, 2 - bit_count(GROUPING_ID(split, sentiment)) AS lv, count(*) AS n "
+       "FROM split_rows GROUP BY ROLLUP (split, sentiment)) "
+       "SELECT CAST(lv AS INTEGER) AS level, split, sentiment, n AS rows, "
+       "round(n / CASE lv WHEN 0 THEN n WHEN 1 THEN (SELECT n FROM g WHERE lv = 0) "
+       "ELSE (SELECT p.n FROM g p WHERE p.lv = 1 AND p.split = g.split) END, 9) AS share_of_parent, "
+       "round(n / (SELECT n FROM g WHERE lv = 0), 9) AS share_of_all FROM g")
+def q_split_report(spark, sf_dir):
+    """A3 / A4 over grouping sets: table, splits and classes in one aggregate."""
+    return pf.split_report(split_reviews(spark, sf_dir), "sentiment")
+
+
+@query("fold_ranges",
+       f"WITH {SPLIT_SQL}, tr AS (SELECT * FROM split_rows WHERE split = 'train') "
+       "SELECT doc_id, sentiment, CAST(((row_number() OVER (PARTITION BY sentiment ORDER BY "
+       f"{sq.order_key('doc_id', 42)}, doc_id) - 1) * 5) // count(*) OVER (PARTITION BY sentiment) AS INTEGER) AS fold FROM tr")
+def q_fold_ranges(spark, sf_dir):
+    """M4 folds as training uses them: ranges of the class ranks, without moving a row."""
+    train = split_reviews(spark, sf_dir).where(F.col("split") == "train")
+    return sm.fold_ranges(train, "sentiment", "doc_id", 5, 42).select("doc_id", "sentiment", "fold")
+
+
 @query("assign_folds",
        f"WITH {SPLIT_SQL}, tr AS (SELECT * FROM split_rows WHERE split = 'train') "
        "SELECT doc_id, sentiment, CAST((row_number() OVER (PARTITION BY sentiment ORDER BY "

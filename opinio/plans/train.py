@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions.text import clean_text
 from opinio.operators.metrics import classification_metrics, classification_report, confusion_matrix, roc_auc
-from opinio.operators.sampling import assign_folds, sample_n, stratified_split
+from opinio.operators.sampling import fold_ranges, sample_n, stratified_split
 from opinio.options import TrainOptions
 from opinio.plans.features import fit_feature_pipeline, vocabulary_of
 from opinio.plans.forest import grid_counts, read_trees, rewrite
@@ -306,7 +306,7 @@ def prepare(spark: SparkSession, reviews: DataFrame, options: TrainOptions, id_c
     """M13 front half: sample -> split (persisted) -> features fitted on train only -> features tables.
 
     The split table is computed once and checkpointed, so the label of a row cannot move between
-    jobs; features tables are repartitioned to ``ceil(rows / rows_per_partition)`` and persisted."""
+    jobs; features tables are persisted and read in ``ceil(rows / rows_per_partition)`` partitions."""
     df = sample_n(reviews, options.dataset_size, id_col, options.split.seed) if options.dataset_size else reviews
     processed = f"{text_col}_processed"
     # Cleaned once, before the checkpoint: the vocabulary fit and the feature table both read it.
@@ -327,11 +327,11 @@ def prepare(spark: SparkSession, reviews: DataFrame, options: TrainOptions, id_c
     def parts(n: int) -> int:
         return max(1, -(-n // options.rows_per_partition))
 
-    train_f = (assign_folds(feats.where(F.col("split") == "train"), "label", id_col, options.cv_folds, options.seed)
-               .repartition(parts(counts.get("train", 0)), id_col).persist(StorageLevel.MEMORY_AND_DISK))
+    # Vectors are made once, where their texts lie, and are not moved; the solvers read a few larger partitions.
+    folded = fold_ranges(feats.where(F.col("split") == "train"), "label", id_col, options.cv_folds, options.seed)
+    train_f = folded.persist(StorageLevel.MEMORY_AND_DISK).coalesce(parts(counts.get("train", 0)))
     n_other = counts.get("val", 0) + counts.get("test", 0)
-    others = (feats.where(F.col("split") != "train").repartition(parts(n_other), id_col)
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    others = feats.where(F.col("split") != "train").persist(StorageLevel.MEMORY_AND_DISK).coalesce(parts(n_other))
     return splits, fmodel, train_f, others
 
 

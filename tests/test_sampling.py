@@ -67,3 +67,28 @@ def test_sample_n_is_the_smallest_keys(spark):
         assert {r.doc_id for r in sm.sample_n(df, n, "doc_id", 3).collect()} == {r.doc_id for r in order[:n]}
     assert sm.sample_n(df, None, "doc_id").count() == df.count()
     assert sm.sample_n(df, 10_000, "doc_id").count() == df.count()
+
+
+def test_fold_ranges_move_no_rows(spark):
+    rows = [(i, float(i % 7 > 1), [float(i)]) for i in range(83)] + [(900, 2.0, [0.0])]
+    df = spark.createDataFrame(rows, "doc_id long, y double, features array<double>")
+    out = sm.fold_ranges(df, "y", "doc_id", 5, 42)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
+    got = out.collect()
+    for y in (0.0, 1.0, 2.0):
+        sizes = [sum(r.y == y and r.fold == k for r in got) for k in range(5)]
+        assert sum(sizes) == sum(r[1] == y for r in rows) and max(sizes) - min(sizes) <= 1
+    assert sm.fold_ranges(df.limit(0), "y", "doc_id").count() == 0
+
+
+def test_split_report_tells_null_groups_from_totals(spark):
+    from opinio.operators.profile import split_report
+
+    df = spark.createDataFrame([("a", 1), ("a", 0), ("a", None), (None, 1)], "split string, sentiment int")
+    got = {(r.level, r.split, r.sentiment): (r.rows, r.share_of_parent, r.share_of_all) for r in split_report(df).collect()}
+    third = round(1 / 3, 9)
+    assert got == {(0, None, None): (4, 1.0, 1.0), (1, "a", None): (3, 0.75, 0.75), (1, None, None): (1, 0.25, 0.25),
+                   (2, "a", 1): (1, third, 0.25), (2, "a", 0): (1, third, 0.25), (2, "a", None): (1, third, 0.25),
+                   (2, None, 1): (1, 1.0, 0.25)}
+    assert split_report(df.limit(0)).where("level > 0").count() == 0
