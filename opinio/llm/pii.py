@@ -5,9 +5,10 @@ adds spans of the same kinds that patterns miss ("name at example dot com", "(21
 shapes, lengths and known words of a token and its two neighbours on either side; it is trained by maximum likelihood
 on a small labelled table in one task and decoded by Viterbi in numpy batches.
 
-Most tokens cannot be anything but outside: where the score of that label beats every other by more than all
-transitions could make up, the best path passes through it, so the chain is cut there without loss.  Only the short
-runs between such tokens are decoded, many at a time.
+Most tokens cannot be anything but outside.  What a run of other labels can gain over outside labels is at most the sum
+of its tokens' largest gains, with the best transitions; the largest such sum of any run through a token comes from
+running minima and maxima of the cumulated gains.  Where it is not positive, the best path passes outside, so the
+chain is cut there without loss, and only the short runs between such tokens are decoded, many at a time.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 #: Neighbours whose features a token has.
 REACH = 2
-#: Tokens remembered by a task, the longest of them, and the characters of a text read at once.
-MEMO_TOKENS, MEMO_CHARS, BLOCK_CHARS = 50_000, 32, 1 << 18
-#: Cells (runs x steps) decoded at once.
-BATCH_CELLS = 1 << 18
+#: Tokens remembered by a task, and the characters of a text read at once.
+MEMO_TOKENS, BLOCK_CHARS = 100_000, 1 << 18
+#: Cells (runs x steps) decoded at once, and the texts whose runs are decoded together.
+BATCH_CELLS, BATCH_TEXTS = 1 << 18, 512
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -149,11 +150,14 @@ class CRF:
     weights: np.ndarray
     moves: np.ndarray
 
-    @property
-    def slack(self) -> np.ndarray:
-        """The most that the transitions into and out of a label can gain over those of label O."""
-        t = self.moves
-        return np.array([(t[:, None, y] + t[y][None, :] - t[:, None, 0] - t[0][None, :]).max() for y in range(len(t))])
+    def may_be_inside(self, gain: np.ndarray) -> np.ndarray:
+        """Whether a token can be part of a run of labels that beats outside labels, from each token's largest score
+        over that of O."""
+        t = self.moves - self.moves[0, 0]
+        inner, ends = t[1:, 1:].max(), t[0, 1:].max() + t[1:, 0].max()
+        total = np.concatenate([[0.0], np.cumsum(gain + inner)])
+        low, high = np.minimum.accumulate(total)[:-1], np.maximum.accumulate(total[::-1])[::-1][1:]
+        return high - low + ends - inner > -1e-6
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -270,7 +274,7 @@ class Tagger:
 
     def __init__(self, model: CRF):
         self.model = model
-        self.moves, self.slack = model.moves, model.slack[1:]
+        self.moves = model.moves
         self.words = {f[1:] for f in model.index if f[0] == "w"}
         self.width, self.k = model.weights.shape[1], len(LABELS)
         self._reset()
@@ -304,11 +308,10 @@ class Tagger:
             self.cores[i] = len(t.lstrip())
         return np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
 
-    def open_tokens(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Of the tokens that may be other than outside, block by block: number, start, end and scores."""
-        at, number = 0, 0
+    def _blocks(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Start, end and scores of all tokens, block by block."""
+        at, left = 0, 0  # leading rows that are context only
         scores, starts, ends = np.zeros((0, self.width, self.k), np.float32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        left = 0  # leading rows that are context only
         while True:
             if len(self.memo) > MEMO_TOKENS:
                 self._reset()
@@ -316,8 +319,7 @@ class Tagger:
             stop = cut.start() if cut else len(text)
             tokens = _TOKEN.findall(text, at, stop)
             rows = self._rows(tokens)
-            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-            end = at + np.cumsum(sizes)
+            end = at + np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
             scores = np.concatenate([scores, self.table[rows]])
             starts, ends = np.concatenate([starts, end - self.cores[rows]]), np.concatenate([ends, end])
             at, n = stop, len(scores)
@@ -327,15 +329,30 @@ class Tagger:
                 lo, hi = max(0, -d), min(n, n - d)
                 if lo < hi:
                     emit[lo:hi] += scores[lo + d:hi + d, d + REACH]
-            emit = emit[left:ready]
-            maybe = np.flatnonzero((emit[:, 0, None] <= emit[:, 1:] + self.slack + 1e-6).any(1))
-            yield number + maybe, starts[left:ready][maybe], ends[left:ready][maybe], emit[maybe]
+            yield starts[left:ready], ends[left:ready], emit[left:ready]
             if at == len(text):
                 return
-            number += ready - left
             keep = max(ready - REACH, 0)
             scores, starts, ends, left = scores[keep:], starts[keep:], ends[keep:], ready - keep
 
+    def open_tokens(self, text: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of the tokens that may be other than outside: number, start, end and scores.  A text of several blocks is
+        read twice, so that only one number per token is held."""
+        def gain(emit: np.ndarray) -> np.ndarray:
+            return (emit[:, 1:] - emit[:, :1]).max(1)
+
+        if len(text) <= BLOCK_CHARS:
+            for starts, ends, emit in self._blocks(text):
+                at = np.flatnonzero(self.model.may_be_inside(gain(emit)))
+                yield at, starts[at], ends[at], emit[at]
+            return
+        maybe = self.model.may_be_inside(np.concatenate([gain(emit) for _, _, emit in self._blocks(text)]))
+        number = 0
+        for starts, ends, emit in self._blocks(text):
+            at = np.flatnonzero(maybe[number:number + len(emit)])
+            yield number + at, starts[at], ends[at], emit[at]
+            number += len(emit)
+
     def labels(self, number: np.ndarray, emit: np.ndarray) -> np.ndarray:
         """Best label of each open token; those with consecutive numbers form a run between outside tokens."""
         out = np.zeros(len(number), np.int8)
@@ -448,8 +465,8 @@ def find_pii(docs: DataFrame, model: CRF | None = None, text_col: str = "text",
         tagger = Tagger(CRF(*shared.value))
         for array in column:
             out: list[list[dict]] = []
-            for lo in range(0, len(array), 64):
-                texts = [t or "" for t in array.slice(lo, 64).to_pylist()]
+            for lo in range(0, len(array), BATCH_TEXTS):
+                texts = [t or "" for t in array.slice(lo, BATCH_TEXTS).to_pylist()]
                 out += [[{"start": s, "end": e, "kind": k, "base": b} for s, e, k, b in spans] for spans in all_spans(tagger, texts)]
             yield pa.array(out, pa.list_(kind))
 
