@@ -12,20 +12,23 @@ and Spark ships it to executors inside the transformer.  Transforming needs no s
 
 from __future__ import annotations
 
+from dataclasses import asdict
 from typing import Optional
 
 from pyspark import keyword_only
-from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from opinio.functions.text import clean_text
-from opinio.operators.vocabulary import MAX_MODEL_VOCABULARY, fit_vocabulary, resolve_stop_words, with_feature_terms
+from opinio.functions.stopwords import ENGLISH_STOP_WORDS
+from opinio.operators.vocabulary import MAX_MODEL_VOCABULARY, fit_vocabulary, with_feature_terms
 from opinio.options import CleanOptions, FeatureOptions
+from opinio.plans.persist import TableReadable, TableWritable
 
 
 class TextCleaner(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -89,53 +92,132 @@ class TermExtractor(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadabl
 
 
 def feature_stages(vocab_rows, options: FeatureOptions, stop_words, clean: CleanOptions,
-                   text_col: str = "review", features_col: str = "features"):
-    """Stages from a collected vocabulary ``[(term, idf)]`` ordered by index."""
+                   text_col: str = "review", features_col: str = "features", prefix: str = ""):
+    """Stages from a collected vocabulary ``[(term, idf)]`` ordered by index; ``prefix`` goes before the names of the
+    columns between them."""
     terms = [r[0] for r in vocab_rows]
+    processed, found, counted, raw = (f"{prefix}{c}" for c in (f"{text_col}_processed", "terms", "tf", "tfidf_raw"))
     stages = [
-        TextCleaner.from_options(clean, inputCol=text_col, outputCol=f"{text_col}_processed"),
-        TermExtractor(inputCol=f"{text_col}_processed", outputCol="terms", stopWords=list(stop_words),
+        TextCleaner.from_options(clean, inputCol=text_col, outputCol=processed),
+        TermExtractor(inputCol=processed, outputCol=found, stopWords=list(stop_words),
                       ngramMin=options.ngram_range[0], ngramMax=options.ngram_range[1],
                       lowercase=options.lowercase),
     ]
     is_tfidf = options.vectorizer_type.lower() == "tfidf"
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol="terms",
-                                              outputCol="tf" if is_tfidf else features_col,
+    cv = CountVectorizerModel.from_vocabulary(terms, inputCol=found, outputCol=counted if is_tfidf else features_col,
                                               binary=options.binary)
     stages.append(cv)
     if is_tfidf:
         idf = Vectors.dense([float(r[1]) for r in vocab_rows])
-        stages.append(ElementwiseProduct(scalingVec=idf, inputCol="tf", outputCol="tfidf_raw"))
-        stages.append(Normalizer(p=2.0, inputCol="tfidf_raw", outputCol=features_col))
+        stages.append(ElementwiseProduct(scalingVec=idf, inputCol=counted, outputCol=raw))
+        stages.append(Normalizer(p=2.0, inputCol=raw, outputCol=features_col))
     return stages
 
 
+class _FeatureParams(HasInputCol, HasOutputCol):
+    vectorizerType = Param(Params._dummy(), "vectorizerType", "tfidf or count", TypeConverters.toString)
+    maxFeatures = Param(Params._dummy(), "maxFeatures", "most terms; 0 for no limit", TypeConverters.toInt)
+    ngramMin = Param(Params._dummy(), "ngramMin", "smallest n", TypeConverters.toInt)
+    ngramMax = Param(Params._dummy(), "ngramMax", "largest n", TypeConverters.toInt)
+    # An int is a number of documents, a float a share of them.
+    minDf = Param(Params._dummy(), "minDf", "fewest documents of a term", TypeConverters.identity)
+    maxDf = Param(Params._dummy(), "maxDf", "most documents of a term", TypeConverters.identity)
+    stopWords = Param(Params._dummy(), "stopWords", "stop words", TypeConverters.toListString)
+    lowercase = Param(Params._dummy(), "lowercase", "lower-case terms", TypeConverters.toBoolean)
+    binary = Param(Params._dummy(), "binary", "flags instead of counts", TypeConverters.toBoolean)
+    cleaning = Param(Params._dummy(), "cleaning", "options of the cleaner by name", TypeConverters.identity)
+
+    def feature_options(self) -> FeatureOptions:
+        g = self.getOrDefault
+        return FeatureOptions(g(self.vectorizerType), g(self.maxFeatures) or None, (g(self.ngramMin), g(self.ngramMax)), g(self.maxDf),
+                              g(self.minDf), tuple(g(self.stopWords)), g(self.lowercase), g(self.binary))
+
+    def clean_options(self) -> CleanOptions:
+        return CleanOptions(**self.getOrDefault(self.cleaning))
+
+    def _defaults(self) -> None:
+        o = FeatureOptions()
+        self._setDefault(inputCol="review", outputCol="features", vectorizerType=o.vectorizer_type, maxFeatures=o.max_features,
+                         ngramMin=o.ngram_range[0], ngramMax=o.ngram_range[1], minDf=o.min_df, maxDf=o.max_df,
+                         stopWords=list(ENGLISH_STOP_WORDS), lowercase=o.lowercase, binary=o.binary, cleaning=asdict(CleanOptions()))
+
+
+class FeatureModel(Model, _FeatureParams, TableWritable, TableReadable):
+    """X2, fitted: texts to feature vectors.  The vocabulary is saved as a table beside the parameters."""
+
+    def __init__(self):
+        super().__init__()
+        self._defaults()
+        self.vocabulary: list[tuple[str, float]] = []
+
+    def stages(self, prefix: str = "") -> list:
+        """The same model as a list of built-in stages."""
+        options = self.feature_options()
+        return feature_stages(self.vocabulary, options, options.stop_words, self.clean_options(), self.getInputCol(), self.getOutputCol(),
+                              prefix)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        prefix = f"_{self.uid}_"
+        if not self.vocabulary:
+            raise ValueError("the vocabulary is empty")
+        out = PipelineModel(stages=self.stages(prefix)).transform(df)
+        return out.drop(*(c for c in out.columns if c.startswith(prefix)))
+
+    def _table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(i, t, w) for i, (t, w) in enumerate(self.vocabulary)], "idx int, term string, idf double")
+
+    def _set_table(self, df: DataFrame) -> None:
+        self.vocabulary = [(r["term"], r["idf"]) for r in df.orderBy("idx").collect()]  # the model's own content
+
+
+class FeatureEstimator(Estimator, _FeatureParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Learns the vocabulary and idf of a text column (cleaning, terms, n-grams, pruning) for use in pipelines and
+    cross-validation.  Null and empty texts are documents without terms; a fit without any term has no model."""
+
+    @keyword_only
+    def __init__(self, inputCol="review", outputCol="features", vectorizerType=None, maxFeatures=None, ngramMin=None, ngramMax=None,
+                 minDf=None, maxDf=None, stopWords=None, lowercase=None, binary=None, cleaning=None):
+        super().__init__()
+        self._defaults()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    @classmethod
+    def from_options(cls, options: FeatureOptions, clean: CleanOptions, inputCol: str = "review", outputCol: str = "features"):
+        stops = ENGLISH_STOP_WORDS if options.stop_words is None else options.stop_words
+        return cls(inputCol=inputCol, outputCol=outputCol, vectorizerType=options.vectorizer_type, maxFeatures=options.max_features or 0,
+                   ngramMin=options.ngram_range[0], ngramMax=options.ngram_range[1], minDf=options.min_df, maxDf=options.max_df,
+                   stopWords=list(stops), lowercase=options.lowercase, binary=options.binary, cleaning=asdict(clean))
+
+    def _fit(self, df: DataFrame) -> FeatureModel:
+        cleaned = TextCleaner.from_options(self.clean_options(), inputCol=self.getInputCol(), outputCol="_processed").transform(
+            df.select(self.getInputCol()))
+        return self.fit_processed(cleaned, "_processed")
+
+    def fit_processed(self, df: DataFrame, processed_col: str) -> FeatureModel:
+        """Fit on an already cleaned column."""
+        options = self.feature_options()
+        vocab = fit_vocabulary(df, processed_col, processed_col, options, options.stop_words)
+        bound = options.max_features
+        if bound is None or bound > MAX_MODEL_VOCABULARY:
+            n = vocab.count()
+            if n > MAX_MODEL_VOCABULARY:
+                raise ValueError(f"vocabulary of {n} terms is too large for an in-model vocabulary; set max_features")
+        model = self._copyValues(FeatureModel())
+        model._set_table(vocab.select("term", "idf", "idx"))
+        return model
+
+
 def fit_feature_pipeline(train: DataFrame, id_col: str, text_col: str = "review",
                          options: FeatureOptions = FeatureOptions(),
                          clean: CleanOptions = CleanOptions(), features_col: str = "features",
                          processed_col: Optional[str] = None) -> PipelineModel:
-    """Fit on the training rows only: clean -> vocabulary job -> assembled ``PipelineModel``.
+    """Fit on the training rows only: clean -> vocabulary job -> assembled ``PipelineModel`` of built-in stages.
 
     ``processed_col`` names an already cleaned column of ``train`` (cleaned with ``clean``), so the
     texts are not cleaned a second time."""
-    spark = train.sparkSession
-    stops = resolve_stop_words(spark, options)
-    if processed_col is None:
-        cleaned = TextCleaner.from_options(clean, inputCol=text_col, outputCol="_processed").transform(
-            train.select(id_col, text_col))
-        source = "_processed"
-    else:
-        cleaned, source = train.select(id_col, processed_col), processed_col
-    vocab = fit_vocabulary(cleaned, id_col, source, options, stops)
-    bound = options.max_features
-    if bound is None or bound > MAX_MODEL_VOCABULARY:
-        n = vocab.count()
-        if n > MAX_MODEL_VOCABULARY:
-            raise ValueError(f"vocabulary of {n} terms is too large for an in-model vocabulary; set max_features")
-    # Bounded by max_features: the model's own content.
-    rows = [(r["term"], r["idf"]) for r in vocab.select("term", "idf", "idx").orderBy("idx").collect()]
-    stages = feature_stages(rows, options, stops, clean, text_col, features_col)
-    return PipelineModel(stages=stages)
+    estimator = FeatureEstimator.from_options(options, clean, text_col, features_col)
+    model = estimator.fit(train) if processed_col is None else estimator.fit_processed(train.select(processed_col), processed_col)
+    return PipelineModel(stages=model.stages())
 
 
 def vocabulary_of(model: PipelineModel) -> list[str]:

@@ -74,3 +74,38 @@ def test_positions_over_several_ranges(spark, monkeypatch):
     monkeypatch.setattr(vc, "RANGE_ROWS", 7)
     out = vc.range_index(spark.createDataFrame([(f"t{i:03}",) for i in range(40)], "term string"), "term")
     assert sorted((r.term, r.idx) for r in out.collect()) == [(f"t{i:03}", i) for i in range(40)]
+
+
+def test_estimator_in_pipelines_and_cross_validation(spark, tmp_path):
+    """Fitted, saved, loaded and searched over like any other estimator."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from opinio.options import CleanOptions
+    from opinio.plans.features import FeatureEstimator
+
+    rows = [(f"{'lovely warm' if i % 2 else 'awful cold'} soup table number{'abc'[i % 3]}", float(i % 2), i) for i in range(48)]
+    df = spark.createDataFrame(rows, "review string, label double, terms int")
+    est = FeatureEstimator(minDf=2, maxDf=1.0, ngramMax=1, stopWords=["soup"])
+    model = Pipeline(stages=[est, LogisticRegression(maxIter=20)]).fit(df)
+    path = str(tmp_path / "m")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    assert again.stages[0].vocabulary == model.stages[0].vocabulary and again.stages[0].getOrDefault("minDf") == 2
+    a, b = (m.transform(df).select("terms", "features", "prediction").orderBy("terms").collect() for m in (model, again))
+    assert a == b and {r[0] for r in a} == set(range(48))
+    Pipeline(stages=[est]).write().overwrite().save(str(tmp_path / "p"))
+    loaded = Pipeline.load(str(tmp_path / "p")).getStages()[0]
+    assert loaded.feature_options() == est.feature_options() and loaded.uid == est.uid
+
+    piped = fit_feature_pipeline(df.withColumn("doc_id", F.lit(1)), "doc_id", "review", est.feature_options(), CleanOptions())
+    assert vocabulary_of(piped) == [t for t, _ in model.stages[0].vocabulary]
+    whole = piped.transform(df.drop("terms")).select("features").collect()
+    assert sorted(map(str, whole)) == sorted(str(r) for r in model.stages[0].transform(df).select("features").collect())
+
+    grid = ParamGridBuilder().addGrid(est.maxFeatures, [1, 4]).build()
+    search = CrossValidator(estimator=Pipeline(stages=[est, LogisticRegression(maxIter=20)]), estimatorParamMaps=grid, numFolds=2, seed=1,
+                            evaluator=MulticlassClassificationEvaluator(metricName="accuracy")).fit(df)
+    assert search.bestModel.stages[0].getOrDefault("maxFeatures") == 4 and max(search.avgMetrics) == 1.0
