@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from opinio.functions import text as tx
 from opinio.functions.labels import sentiment_name
+from opinio.functions.treebank import treebank_sql, treebank_tokens
 from opinio.operators import metrics as mx
 from opinio.operators import profile as pf
 from opinio.operators import sampling as sm
@@ -206,6 +207,16 @@ def q_tokenize_ws(spark, sf_dir):
     return conv.select("conv_id", "turn", F.size(toks).alias("n_tokens"), F.array_join(toks, " ").alias("tokens"))
 
 
+@query("tokenize_treebank",
+       f"SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens "
+       f"FROM (SELECT doc_id, {treebank_sql('text')} AS t FROM documents)")
+def q_tokenize_treebank(spark, sf_dir):
+    """Word tokens with contractions, quotes, brackets and sentence ends split off."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    staged = docs.select("doc_id", treebank_tokens("text").alias("t"))
+    return staged.select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
+
+
 @query("bigrams",
        f"WITH c AS (SELECT conv_id, turn, {sq.clean_tokens('text')} AS t FROM conversations) "
        "SELECT conv_id, turn, array_to_string(CASE WHEN len(t) < 2 THEN [] ELSE "
@@ -552,6 +563,57 @@ def q_lemmatize_dict(spark, sf_dir):
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmatized"))
 
 
+def _lemmas_sql() -> str:
+    from opinio.operators.lexicon import DETACHMENTS, IRREGULAR, TAG_ENDINGS
+
+    rules = ", ".join(f"({k}, '{p}', '{s}', '{r}')" for k, (p, s, r) in enumerate(DETACHMENTS, 1))
+    odd = ", ".join(f"('{w}', '{p}', '{m}')" for w, p, m in IRREGULAR)
+    tags = " ".join(f"WHEN suffix(token, '{e}') AND length(token) > {len(e) + 2} THEN '{t}'" for e, t in TAG_ENDINGS)
+    return (f"rules(r, pos, suf, put) AS (VALUES {rules}), odd(token, pos, lemma) AS (VALUES {odd}), "
+            f"words AS (SELECT v.token, coalesce(o.pos, CASE {tags} ELSE 'n' END) AS pos FROM (SELECT token FROM voc) v LEFT JOIN odd o USING (token)), "
+            "lex AS (SELECT token AS form FROM toks GROUP BY token HAVING count(DISTINCT doc_id) >= 2), "
+            "cand AS (SELECT token, 0 AS r, token AS form FROM words UNION ALL SELECT w.token, k.r, "
+            "left(w.token, length(w.token) - length(k.suf)) || k.put FROM words w JOIN rules k ON k.pos = w.pos AND suffix(w.token, k.suf) "
+            "AND length(w.token) > length(k.suf)), "
+            "best AS (SELECT token, form FROM cand JOIN lex USING (form) QUALIFY row_number() OVER (PARTITION BY token ORDER BY length(form), r) = 1), "
+            "lemmas AS (SELECT w.token, w.pos, coalesce(o.lemma, b.form, w.token) AS lemma FROM words w LEFT JOIN odd o USING (token) "
+            "LEFT JOIN best b USING (token))")
+
+
+def _lemmas(spark, sf_dir):
+    """Tokens of the cleaned documents, their tagged words, and the dictionary of other lemmas.  The lexicon is the
+    corpus itself: words of two documents or more."""
+    from opinio.operators.lexicon import lemma_dictionary, tagged_words, vocabulary
+
+    path = scratch_path(spark, "tokens")
+    _cleaned_tokens(spark, sf_dir).write.parquet(path)
+    toks = spark.read.parquet(path)
+    lexicon = (toks.select(F.explode(F.array_distinct("tokens")).alias("lemma")).groupBy("lemma").count()
+               .where(F.col("count") >= 2).select("lemma"))
+    words = tagged_words(vocabulary(toks, "tokens"))
+    return toks, words, lemma_dictionary(words, lexicon)
+
+
+@query("lemmas",
+       f"WITH {CLEANED_SQL}, {_TOKS_SQL}, {_lemmas_sql()} SELECT token, pos, lemma FROM lemmas")
+def q_lemmas(spark, sf_dir):
+    """Part of speech and lemma of every distinct word."""
+    _, words, found = _lemmas(spark, sf_dir)
+    return words.join(found, ["token", "pos"], "left").select("token", "pos", F.coalesce("replacement", "token").alias("lemma"))
+
+
+@query("lemmatize",
+       f"WITH {CLEANED_SQL}, {_TOKS_SQL}, {_lemmas_sql()} "
+       "SELECT doc_id, string_agg(l.lemma, ' ' ORDER BY t.pos) AS lemmatized FROM toks t JOIN lemmas l USING (token) GROUP BY doc_id")
+def q_lemmatize(spark, sf_dir):
+    """T8 + J4: documents with every token replaced by its lemma."""
+    from opinio.operators.lexicon import apply_dictionary
+
+    toks, _, found = _lemmas(spark, sf_dir)
+    out = apply_dictionary(toks, "doc_id", "tokens", found, "lemmas")
+    return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmatized"))
+
+
 @query("stem_vocabulary")
 def q_stem_vocabulary(spark, sf_dir):
     """Porter stems of the distinct cleaned vocabulary (a pandas UDF over distinct tokens)."""
