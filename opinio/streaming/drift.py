@@ -8,6 +8,10 @@ runs on those 1500 rows.
 * numeric column: Wasserstein-1 distance of the two empirical distributions divided by the
   reference range (0 when the reference range is 0);
 * ``drift`` = distance > threshold.
+
+On a stream (``stream_drift``) the latest rows are a small state table with one version per micro-batch: a batch joins
+the version before it with its own latest rows and writes its version and its report under its number.  A batch that
+is run again after a failure reads the same version and overwrites its own, so nothing is lost or counted twice.
 """
 
 from __future__ import annotations
@@ -59,15 +63,76 @@ def wasserstein(tagged: DataFrame, col: str) -> DataFrame:
                      F.when(r > 0, F.col("w1") / r).otherwise(F.lit(0.0)).alias("distance"))
 
 
-def drift_report(df: DataFrame, ts_col: str, id_col: str, categorical=(), numeric=(), reference: int = 1000,
-                 current: int = 500, threshold: float = 0.1, digits: int = 9) -> DataFrame:
-    tagged = drift_windows(df.select(ts_col, id_col, *dict.fromkeys([*categorical, *numeric])), ts_col, id_col,
-                           reference, current)
-    # At most reference + current narrow rows: taken once, reused by every feature.
-    tagged = df.sparkSession.createDataFrame(tagged.collect(), tagged.schema)
+def _report(tagged: DataFrame, categorical, numeric, threshold: float, digits: int) -> DataFrame:
     parts = [js_distance(tagged, c) for c in categorical] + [wasserstein(tagged, c) for c in numeric]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("feature", "kind", F.round("distance", digits).alias("distance"),
                       F.lit(float(threshold)).alias("threshold"), (F.col("distance") > threshold).alias("drift"))
+
+
+def drift_report(df: DataFrame, ts_col: str, id_col: str, categorical=(), numeric=(), reference: int = 1000,
+                 current: int = 500, threshold: float = 0.1, digits: int = 9) -> DataFrame:
+    tagged = drift_windows(df.select(ts_col, id_col, *dict.fromkeys([*categorical, *numeric])), ts_col, id_col,
+                           reference, current)
+    # At most reference + current narrow rows: taken once, reused by every feature.
+    tagged = df.sparkSession.createDataFrame(tagged.collect(), tagged.schema)
+    return _report(tagged, categorical, numeric, threshold, digits)
+
+
+def _versions(spark, path: str) -> list[int]:
+    """Numbers of the versions under a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and
+                  fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
+def _drop_version(spark, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stream_drift(source: DataFrame, state_path: str, report_path: str, checkpoint: str, ts_col: str, id_col: str,
+                 categorical=(), numeric=(), reference: int = 1000, current: int = 500, threshold: float = 0.1,
+                 digits: int = 9) -> str:
+    """R2 on a stream: after each micro-batch, the report over the latest rows of all that has arrived, written to
+    ``report_path/v=<batch>``; the last is what ``drift_report`` gives for the same rows.
+
+    Rows may arrive in any order: the state holds the ``reference + current`` latest by ``(ts, id)``.  No report is
+    written before there is a row to compare with.  Runs until all that is available is processed; a restart with the
+    same paths goes on from there."""
+    cols = list(dict.fromkeys([ts_col, id_col, *categorical, *numeric]))
+
+    def batch(rows: DataFrame, number: int) -> None:
+        spark = rows.sparkSession
+        earlier = [v for v in _versions(spark, state_path) if v < number]
+        latest = rows.select(*cols)
+        if earlier:
+            latest = latest.unionByName(spark.read.schema(latest.schema).parquet(f"{state_path}/v={earlier[-1]}"))
+        latest = latest.orderBy(F.col(ts_col).desc(), F.col(id_col).desc()).limit(reference + current)
+        latest.write.mode("overwrite").parquet(f"{state_path}/v={number}")
+        kept = spark.read.schema(latest.schema).parquet(f"{state_path}/v={number}")
+        tagged = drift_windows(kept, ts_col, id_col, reference, current)
+        tagged = spark.createDataFrame(tagged.collect(), tagged.schema)  # reference + current narrow rows at most
+        if tagged.where(F.col("side") == "reference").limit(1).count():
+            report = _report(tagged, categorical, numeric, threshold, digits)
+            report.coalesce(1).write.mode("overwrite").parquet(f"{report_path}/v={number}")
+        for v in earlier[:-1]:  # the version before this one stays until this batch is committed
+            _drop_version(spark, f"{state_path}/v={v}")
+
+    query = (source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return report_path
+
+
+def latest_report(spark, report_path: str) -> DataFrame:
+    versions = _versions(spark, report_path)
+    if not versions:
+        raise LookupError(f"no drift report in {report_path}")
+    return spark.read.parquet(f"{report_path}/v={versions[-1]}")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from opinio.plans.catalog import query, table
 from opinio.session import scratch_path
-from opinio.streaming.drift import drift_report
+from opinio.streaming.drift import drift_report, latest_report, stream_drift
 from opinio.streaming.stream import event_windows, read_table_stream, run_available, stream_score
 
 _TS = "%Y-%m-%d %H:%M:%S"
@@ -63,6 +63,16 @@ def q_drift_report(spark, sf_dir):
                         reference=1000, current=500, threshold=0.1)
 
 
+@query("drift_stream", _DRIFT_SQL)
+def q_drift_stream(spark, sf_dir):
+    """R2 on ``events`` as a stream with its state kept between micro-batches; the report after the last."""
+    src = read_table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    root = scratch_path(spark, "drift")
+    reports = stream_drift(src, f"{root}/state", f"{root}/reports", f"{root}/checkpoint", "ts", "event_id",
+                           categorical=("event_type",), numeric=("value",), reference=1000, current=500, threshold=0.1)
+    return latest_report(spark, reports)
+
+
 @query("stream_scores")
 def q_stream_scores(spark, sf_dir):
     """Documents arriving as a file stream, scored by the flagship model, written with a
