@@ -70,25 +70,27 @@ class Block:
     boilerplate: bool
     main: bool
     label: bool | None = None
-    #: Number of the outermost form round the block, and whether it marks the block; 0 for none.
+    #: Number of the form or so named wrapper round the block, and whether it marks the block; 0 for none.
     form: int = 0
     formed: bool = False
 
 
-def _boilerplate_names(attrs: str) -> set[str]:
-    """Words of ``BOILERPLATE_NAMES`` that begin or end a class, id or role; none from the name of a state."""
-    found = set()
+def _boilerplate_names(attrs: str) -> tuple[set[str], set[str]]:
+    """Words of ``BOILERPLATE_NAMES`` that begin or end a class, id or role, and those that stand inside one; none
+    from the name of a state."""
+    found, inside = set(), set()
     for m in _ATTR.finditer(attrs):
         for name in (m[2] or m[3] or m[4] or "").lower().split():
             words = _NAME.findall(name)
             if words and STATES.isdisjoint(words):
                 found |= BOILERPLATE_NAMES.intersection((words[0], words[-1]))
-    return found
+                inside |= BOILERPLATE_NAMES.intersection(words[1:-1])
+    return found, inside
 
 
 def _mark_forms(found: list[Block]) -> list[Block]:
-    """Blocks in a form are boilerplate, unless it is round the page: it has half of the text or more that is not
-    boilerplate otherwise."""
+    """Blocks in a form, or in a wrapper with such a word inside its name, are boilerplate, unless it is round the page:
+    it has half of the text or more that is not boilerplate otherwise."""
     size: Counter[int] = Counter()
     for b in found:
         size[b.form] += 0 if b.boilerplate else len(b.text)
@@ -105,6 +107,7 @@ def blocks(page: str) -> list[Block]:
     # tag, skipped, boilerplate, main, lasting boilerplate, form, marked by it: inherited
     stack: list[tuple[str, bool, bool, bool, bool, int, bool]] = []
     none = ("", False, False, False, False, 0, False)
+    open_tags: Counter[str] = Counter()
     forms = 0
     skip_until = ""
     state = none
@@ -146,9 +149,12 @@ def blocks(page: str) -> list[Block]:
         elif tag == "a":
             anchors = 0 if m["close"] else 1
         if m["close"]:
-            if any(s[0] == tag for s in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if open_tags[tag]:
+                while True:
+                    last = stack.pop()[0]
+                    open_tags[last] -= 1
+                    if last == tag:
+                        break
                 state = stack[-1] if stack else none
             continue
         if tag in ("script", "style", "noscript", "template", "textarea", "title", "iframe"):
@@ -161,16 +167,19 @@ def blocks(page: str) -> list[Block]:
             if tag == "p" or tag == "li":  # these end where the next begins
                 while stack and stack[-1][0] == tag == "p":
                     stack.pop()
+                    open_tags["p"] -= 1
                 state = stack[-1] if stack else none
-            names = set() if tag in ("html", "body", *MAIN) else _boilerplate_names(m["attrs"])
+            names, inside = (set(), set()) if tag in ("html", "body", *MAIN) else _boilerplate_names(m["attrs"])
             bad = tag in BOILERPLATE and tag != "form" and not (tag == "header" and state[3]) or bool(names)
             lasting = state[4] or tag in LASTING or not LASTING_NAMES.isdisjoint(names)
             lifted = tag in MAIN and not lasting
-            outer = tag == "form" and not state[5]
+            sized = tag == "form" or bool(inside)
+            outer = sized and not state[6]
             forms += outer
             state = (tag, state[1] or tag in SKIPPED, (state[2] or bad) and not lifted, state[3] or tag in MAIN, lasting,
-                     forms if outer else state[5], (state[6] or tag == "form") and not lifted)
+                     forms if outer else state[5], (state[6] or sized) and not lifted)
             stack.append(state)
+            open_tags[tag] += 1
     flush()
     return _mark_forms(out)
 

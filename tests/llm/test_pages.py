@@ -213,3 +213,25 @@ def test_wrappers_round_a_page_are_no_boilerplate(page):
 ])
 def test_boilerplate_stays_boilerplate(page):
     assert main_text(page + f"<article><p>{BODY[:60]}</p></article>") == BODY[:60]
+
+
+BODY = "The long story of the house by the sea is told here by the man who lived in it for many years and knew it well. " * 3
+READER = "Nice words of the reader who says that it is the best of all the stories and that he wants more of it."
+
+
+@pytest.mark.parametrize("name", ["user-comments-section", "post-comments-list", "top-banner-wrap", "site-navigation-main",
+                                  "my-related-posts", "page_sidebar_box"])
+def test_boilerplate_words_inside_a_name(name):
+    page = f"<body><main><p>{BODY}</p><div class='{name}'><p>{READER}</p></div><p>{BODY}</p></main></body>"
+    assert main_text(page) == f"{BODY.strip()}\n{BODY.strip()}"
+    # A wrapper round the page with such a name keeps its text.
+    assert main_text(f"<body><div class='{name}'><p>{BODY}</p></div></body>") == BODY.strip()
+
+
+def test_deep_and_unclosed_tags_are_linear():
+    import time
+
+    began = time.time()
+    for page in ("<div>" * 100_000 + "<a></a>" * 100_000 + "text", "<p>" * 200_000 + "text", "<li><div></li>" * 60_000):
+        assert main_text(page) in ("text", "")
+    assert time.time() - began < 30
