@@ -26,13 +26,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-duplicates: the document with the smallest id of each group stays.  A document with a null
-    id goes by a number made from its text, above all ids; rows that repeat the kept id are one document."""
-    hashed = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    docs = docs.select(*COLUMNS).withColumn("_key", F.coalesce("doc_id", hashed))
+    """SimHash near-duplicates: of each group the document with the smallest id stays.  A document is its id and its
+    text: of equal ids the one with the smaller hash of its text comes first, documents without an id come last.
+    Rows that repeat id and text are one document, of which the row with the smallest other columns stays."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("th"))
+    docs = docs.select(*COLUMNS).withColumn("_key", key)
     groups = simhash_groups(docs, shingle=3, max_bits=3, id_col="_key")
-    kept = materialise(groups.where(F.col("_key") == F.col("component_id")).select("_key"), "kept")
-    return docs.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*COLUMNS)
+    kept = materialise(groups.where(F.col("_key") == F.col("component_id")).select("_key").distinct(), "kept")
+    one = docs.join(kept, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*COLUMNS)).alias("_d"))
+    return one.select("_d.*")
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
