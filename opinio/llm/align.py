@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinio.llm.common import discard, materialise
-from opinio.llm.unigram import BYTE, MARK, parse_vocabulary
+from opinio.llm.unigram import BYTE, MARK, NORMAL, USER_DEFINED, parse_vocabulary
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -38,6 +38,8 @@ SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s
 LONG_RUN = 500
 #: Characters of a text that are aligned at once (one longer unit goes alone).
 SEGMENT_CHARS = 1 << 16
+#: Kinds of pieces that stand for text.
+TEXT_KINDS = (NORMAL, USER_DEFINED)
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _GAP = re.compile(rf"\s{{{LONG_RUN}}}")
 
@@ -73,8 +75,9 @@ class Tokenizers:
         self.fast = self._ranked(spec, special)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_bpe)
         vocab = parse_vocabulary(piece_bpe)  # also checks that no piece crosses the start of a word
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, b" ")
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, b" ") if k in TEXT_KINDS else b""
                         for p, k in zip(vocab.pieces, vocab.kinds.tolist())]
+        self.a_len, self.b_len = (np.array([len(x) for x in side]) for side in (self.a_bytes, self.b_bytes))
 
     def _ranked(self, spec: dict, special: set):
         """The same vocabulary in the library that takes ids for merge ranks, if the merges stand in the order of
@@ -92,55 +95,66 @@ class Tokenizers:
         """The ids of both sides, or None where the bytes of either are not those of a space and the text."""
         line = " " + text
         if self.fast and max(map(len, text.split()), default=0) <= LONG_RUN and not _GAP.search(text):
-            a = self.fast.encode_ordinary(line)
+            a = self.fast.encode_to_numpy(line, disallowed_special=()).astype(np.int64)  # merged from the text's own bytes
         else:
-            a = self.slow.encode(line, add_special_tokens=False).ids
-        b = self.b.encode(text)
-        raw = line.encode()
-        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
-            return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+            a = np.array(self.slow.encode(line, add_special_tokens=False).ids, np.int64)
+            if b"".join([self.a_bytes[i] for i in a]) != line.encode():
+                return None
+        b = np.array(self.b.encode(text), np.int64)
+        # The vocabulary keeps texts as they are (checked when it was read): pieces of as many bytes are the text's.
+        return (a, b) if self.b_len[b].sum() == self.a_len[a].sum() else None
 
 
-def align_ends(ea: list[int], eb: list[int]) -> tuple[list[tuple[int, int, int, int, bool]], list[int], list[int]]:
-    """Alignment of two rising lists of end offsets with the same last value: its stretches, and the index pairs of
-    overlapping tokens.
+def align_ends(ea: list[int], eb: list[int]) -> np.ndarray:
+    """Alignment of two rising lists of end offsets with the same last value: its stretches, one row each.
 
     A stretch is ``(i0, i1, j0, j1, even)``.  An even one holds ``i1 - i0`` one-to-one groups, found by exponential
     probing at the shift ``j0 - i0``; any other is one irregular group, from one common end to the next."""
-    stretches, links_a, links_b = [], [], []
+    out: list[int] = []
     i = j = 0
     n_a = len(ea)
     while i < n_a:
-        n, step = 0, 1
-        while (part := ea[i + n:i + n + step]) and part == eb[j + n:j + n + step]:
-            n += len(part)
+        i0, j0 = i, j
+        step = 4
+        while (part := ea[i:i + step]) == eb[j:j + step] and part:
+            i += step
+            j += step
             step *= 2
         while step > 1:
             step >>= 1
-            part = ea[i + n:i + n + step]
-            if part and part == eb[j + n:j + n + step]:
-                n += len(part)
-        if n:
-            stretches.append((i, i + n, j, j + n, True))
-            links_a += range(i, i + n)
-            links_b += range(j, j + n)
-            i, j = i + n, j + n
+            if ea[i:i + step] == eb[j:j + step]:
+                i += step
+                j += step
+        if i > n_a:  # the last slices were shorter than the step
+            i, j = n_a, j - (i - n_a)
+        if i > i0:
+            out += (i0, i, j0, j, 1)
             if i == n_a:
                 break
-        i0, j0 = i, j
-        while (x := ea[i]) != (y := eb[j]):
-            links_a.append(i)
-            links_b.append(j)
+            i0, j0 = i, j
+        x, y = ea[i], eb[j]
+        while x != y:
             if x < y:
                 i += 1
+                x = ea[i]
             else:
                 j += 1
-        links_a.append(i)
-        links_b.append(j)
-        i, j = i + 1, j + 1
-        stretches.append((i0, i, j0, j, False))
-    return stretches, links_a, links_b
+                y = eb[j]
+        i += 1
+        j += 1
+        out += (i0, i, j0, j, 0)
+    return np.array(out, np.int64).reshape(-1, 5)
+
+
+def linked(ea: np.ndarray, eb: np.ndarray, stretches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of overlapping tokens.  One-to-one tokens have their partner; in irregular groups, each byte range
+    between neighbouring ends of either side lies in one token of both."""
+    i0, i1, j0, j1, even = stretches.T
+    even_a, even_b = np.repeat(even > 0, i1 - i0), np.repeat(even > 0, j1 - j0)
+    rest_a, rest_b = np.flatnonzero(~even_a), np.flatnonzero(~even_b)
+    ends = np.union1d(ea[rest_a], eb[rest_b])
+    return (np.concatenate([np.flatnonzero(even_a), rest_a[np.searchsorted(ea[rest_a], ends)]]),
+            np.concatenate([np.flatnonzero(even_b), rest_b[np.searchsorted(eb[rest_b], ends)]]))
 
 
 @dataclass
@@ -150,14 +164,15 @@ class Segment:
 
     a: np.ndarray
     b: np.ndarray
-    stretches: list
+    stretches: np.ndarray
     links: np.ndarray
 
     def cuts(self) -> tuple[np.ndarray, np.ndarray]:
         """For each group, how many tokens of either side lie up to its end."""
-        i0, i1, j0, j1, even = np.array(self.stretches, np.int64).T
+        i0, i1, j0, j1, even = self.stretches.T
         groups = np.where(even, i1 - i0, 1)
-        left = np.repeat(groups.cumsum(), groups) - np.arange(groups.sum()) - 1  # groups of the stretch still to come
+        left = np.repeat(groups.cumsum() - 1, groups)
+        left -= np.arange(len(left))  # groups of the stretch still to come
         return np.repeat(i1, groups) - left, np.repeat(j1, groups) - left
 
 
@@ -171,10 +186,11 @@ class Aligner:
 
     def __init__(self, byte_bpe: bytes, piece_bpe: bytes):
         self.tok = Tokenizers(byte_bpe, piece_bpe)
-        self.a_len = np.array([len(x) for x in self.tok.a_bytes])
-        self.b_len = np.array([len(x) for x in self.tok.b_bytes])
-        self.a_names = _decimals(len(self.a_len), b","), _decimals(len(self.a_len), b"|")
-        self.b_names = _decimals(len(self.b_len), b","), _decimals(len(self.b_len), b";")
+        self.a_len, self.b_len = self.tok.a_len, self.tok.b_len
+        self.b_first = len(self.a_len)
+        self.n_names = len(self.a_len) + len(self.b_len)
+        self.names_of = np.concatenate([_decimals(len(self.a_len), b","), _decimals(len(self.b_len), b","),
+                                        _decimals(len(self.a_len), b"|"), _decimals(len(self.b_len), b";")])
 
     def segments(self, text: str) -> Iterator[Segment | None]:
         """The text, segment by segment; None for one whose tokens do not have its bytes."""
@@ -192,20 +208,25 @@ class Aligner:
         if ids is None:
             return None
         a, b = ids
-        stretches, i, j = align_ends(np.cumsum(self.a_len[a]).tolist(), np.cumsum(self.b_len[b]).tolist())
+        ea, eb = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        stretches = align_ends(ea.tolist(), eb.tolist())
+        i, j = linked(ea, eb, stretches)
         return Segment(a, b, stretches, (a[i] << 32) | b[j])
 
     def names(self, seg: Segment) -> bytes:
         """The groups as text, each with a semicolon behind: ``a1,a2|b1;a3|b2,b3;``."""
         a_end, b_end = seg.cuts()
-        width = max(x.itemsize for x in (*self.a_names, *self.b_names))
-        out = np.zeros(len(seg.a) + len(seg.b), f"S{width}")
-        for ids, ends, other, (comma, last) in ((seg.a, a_end, np.append(0, b_end[:-1]), self.a_names),
-                                                (seg.b, b_end, a_end, self.b_names)):
-            text = comma[ids].astype(out.dtype)
-            text[ends - 1] = last[ids[ends - 1]]
-            out[np.arange(len(ids)) + np.repeat(other, np.diff(ends, prepend=0))] = text
-        return out.tobytes().replace(b"\0", b"")
+        # Tokens group by group, A's before B's: a number below ``n_a`` is A's, and the last of a side is marked.
+        sides = np.empty(2 * len(a_end), np.int64)
+        sides[0::2], sides[1::2] = a_end, b_end
+        sides[2::2] -= a_end[:-1]
+        sides[3::2] -= b_end[:-1]
+        ends = sides.cumsum()
+        is_b = np.repeat(np.tile([False, True], len(a_end)), sides)
+        names = np.empty(len(is_b), np.int64)
+        names[~is_b], names[is_b] = seg.a, seg.b + self.b_first
+        names[ends - 1] += self.n_names
+        return self.names_of[names].tobytes().replace(b"\0", b"")
 
 
 def _shared(spark: SparkSession, byte_bpe: str, piece_bpe: str):
@@ -258,12 +279,12 @@ def _report_row(aligner: Aligner, text: str | None) -> tuple:
     for seg in aligner.segments(text) if text else ():
         if seg is None:
             return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
-        names = aligner.names(seg)
+        names, (i0, i1, _, _, even) = aligner.names(seg), seg.stretches.T
         digest.update(tail)
         digest.update(memoryview(names)[:-1])
         tail = names[-1:]
         n_a, n_b, n_links = n_a + len(seg.a), n_b + len(seg.b), n_links + len(seg.links)
-        n_groups += sum(i1 - i0 if even else 1 for i0, i1, _, _, even in seg.stretches)
+        n_groups += int(np.where(even, i1 - i0, 1).sum())
         pair, n = np.unique(seg.links, return_counts=True)
         pairs.append(pair)
         uses.append(n)

@@ -4,13 +4,14 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 import tokenizers
 from pyspark.sql import functions as F
 
 from opinio.llm import align
-from opinio.llm.align import Aligner, align_ends, alignment_report, token_groups
+from opinio.llm.align import Aligner, align_ends, alignment_report, linked, token_groups
 
 ODD = [None, "", "a", "  two leading", "a\n\n b \n", "x<|endoftext|>y <s> </s> <unk> <0x41>", "marker ▁ in it",
        "日本語 テキスト  x 　y", "\x00a b\x85 c", "don't 'S CAN'T we'll", " " * 1300 + "x" + " " * 700, "z" * 4000]
@@ -116,7 +117,8 @@ def test_run_skipping_on_random_ends():
         n = rng.randint(1, 60)
         ea = sorted({n, *rng.sample(range(1, n + 1), rng.randint(1, n))})
         eb = sorted({n, *(ea if rng.random() < 0.5 else []), *rng.sample(range(1, n + 1), rng.randint(1, min(n, 4)))})
-        stretches, i, j = align_ends(ea, eb)
+        stretches = align_ends(ea, eb)
+        i, j = (x.tolist() for x in linked(np.array(ea), np.array(eb), stretches))
         cuts = [e for i0, i1, _, _, even in stretches for e in (ea[i0:i1] if even else [ea[i1 - 1]])]
         assert cuts == sorted(set(ea) & set(eb))
         starts = [0, *ea], [0, *eb]
