@@ -115,11 +115,39 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
 
 
+ORACLE["op7_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substring(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substring(hex, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)),
+         '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to, true AS intact
+FROM d
+"""
+
+
 @query("op3_embedding_dedup")
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(read_table(spark, sf_dir, "embeddings"))
 
 
+ORACLE["op3_embedding_dedup"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id) c USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a) n USING (vec_id)
+"""
+
+
 @query("op1_secrets")
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every document: its span, the digest of its value, the forest's score and verdict."""
