@@ -23,7 +23,7 @@ from opinio.llm.unigram import (BYTE, MARK, NORMAL, UNKNOWN_PENALTY, Trie, Vocab
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words remembered by a task, and the longest word that is worth it.
-MEMO_WORDS, MEMO_BYTES = 100_000, 128
+MEMO_WORDS, MEMO_BYTES = 60_000, 64
 _RUNS = re.compile(rb" +[^ \n]*|\n[^ \n]*")
 
 
@@ -100,6 +100,24 @@ def _slices(array: pa.Array, rows: int = 256) -> Iterator[pa.Array]:
     return (array.slice(i, rows) for i in range(0, len(array), rows))
 
 
+def _lists(ids: list[bytes]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, ids)]) // 4
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+
+def _decoder(vocab: Vocabulary):
+    """Text of ids given as little-endian bytes: pieces joined, byte pieces as bytes, markers as spaces, the dummy
+    prefix taken off; control and unknown pieces give nothing."""
+    table = [bytes([int(p[3:5], 16)]) if k == BYTE else p if k in (NORMAL, 4, 5) else b""
+             for p, k in zip(vocab.pieces, vocab.kinds.tolist())]
+
+    def decode_ids(ids: np.ndarray) -> str:
+        raw = b"".join([table[i] for i in ids.tolist()]).replace(MARK, b" ")
+        return (raw[1:] if vocab.dummy_prefix and raw[:1] == b" " else raw).decode("utf-8", "replace")
+
+    return decode_ids
+
+
 def encode(spark: SparkSession, text: Column, path: str = VOCABULARY) -> Column:
     """``array<int>`` of piece ids.  Null and empty texts have none; no other text has none."""
     vocab = read_vocabulary(spark, path)
@@ -109,37 +127,44 @@ def encode(spark: SparkSession, text: Column, path: str = VOCABULARY) -> Column:
     def run(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(*shared.value)
         for array in column:
-            ids = [x for part in _slices(array) for x in encoder.encode(t or b"" for t in part.to_pylist())]
-            offsets = np.cumsum([0, *map(len, ids)]) // 4
-            values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+            for part in _slices(array):  # small results: neither side holds those of a whole batch
+                yield _lists(encoder.encode(t or b"" for t in part.to_pylist()))
 
     return run(text.cast("binary"))
 
 
 def decode(spark: SparkSession, ids: Column, path: str = VOCABULARY) -> Column:
-    """Text of an id array: pieces joined, byte pieces as bytes, markers as spaces, the dummy prefix taken off.
-    Null and empty arrays give the empty text; control and unknown pieces give nothing."""
-    vocab = read_vocabulary(spark, path)
-    table = [bytes([int(p[3:5], 16)]) if k == BYTE else p if k in (NORMAL, 4, 5) else b""
-             for p, k in zip(vocab.pieces, vocab.kinds.tolist())]
-    shared = spark.sparkContext.broadcast((table, vocab.dummy_prefix))
+    """Text of an id array.  Null and empty arrays give the empty text."""
+    shared = spark.sparkContext.broadcast(read_vocabulary(spark, path))
 
     @F.arrow_udf(T.StringType())
     def run(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table, prefix = shared.value
+        decode_ids = _decoder(shared.value)
         for array in column:
-            out = []
             for part in _slices(array):
-                for x in part:
-                    raw = b"".join([table[i] for i in x.values.to_numpy().tolist()]) if x.is_valid else b""
-                    raw = raw.replace(MARK, b" ")
-                    out.append((raw[1:] if prefix and raw[:1] == b" " else raw).decode("utf-8", "replace"))
-            yield pa.array(out, pa.string())
+                yield pa.array([decode_ids(x.values.to_numpy()) if x.is_valid else "" for x in part], pa.string())
 
     return run(ids)
 
 
+def _both(spark: SparkSession, text: Column, path: str) -> Column:
+    """``struct<ids, text>``: the ids of a text and the text decoded from them, by one worker, slice by slice."""
+    vocab = read_vocabulary(spark, path)
+    shared = spark.sparkContext.broadcast((vocab, vocabulary_trie(vocab)))
+    names = ["ids", "text"]
+
+    @F.arrow_udf("struct<ids:array<int>,text:string>")
+    def run(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decode_ids = Encoder(*shared.value), _decoder(shared.value[0])
+        for array in column:
+            for part in _slices(array):  # small results: neither side holds those of a whole batch
+                ids = encoder.encode(t or b"" for t in part.to_pylist())
+                texts = pa.array([decode_ids(np.frombuffer(x, "<i4")) for x in ids], pa.string())
+                yield pa.StructArray.from_arrays([_lists(ids), texts], names)
+
+    return run(text.cast("binary"))
+
+
 def sentencepiece_ids(docs: DataFrame, path: str = VOCABULARY, text_col: str = "text", ids_col: str = "ids",
                       decoded_col: str = "decoded") -> DataFrame:
     """``docs`` with the piece ids of its texts and the text decoded from them.
@@ -148,9 +173,11 @@ def sentencepiece_ids(docs: DataFrame, path: str = VOCABULARY, text_col: str = "
     text.  A marker character inside a text decodes to a space; all else decodes to the text itself.  Extra
     columns pass through; columns named like the two outputs are replaced.
     """
-    spark = docs.sparkSession
-    return (docs.withColumn(ids_col, encode(spark, F.col(text_col), path))
-            .withColumn(decoded_col, decode(spark, F.col(ids_col), path)))
+    both = "_pieces"
+    while both in docs.columns:
+        both += "_"
+    out = docs.withColumn(both, _both(docs.sparkSession, F.col(text_col), path))
+    return out.withColumns({ids_col: F.col(both)["ids"], decoded_col: F.col(both)["text"]}).drop(both)
 
 
 def same_text(text: Column, decoded: Column) -> Column:
