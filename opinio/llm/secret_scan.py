@@ -31,16 +31,23 @@ from opinio.session import scratch_path
 
 #: Names whose values are credentials, and words that mark samples.
 CREDENTIAL_NAMES = (b"password", b"passwd", b"pwd", b"secret", b"token", b"api_key", b"apikey", b"access_key", b"auth",
-                    b"credential", b"private_key", b"bearer")
+                    b"credential", b"private_key", b"bearer", b"passphrase", b"passcode")
 SAMPLE_WORDS = (b"example", b"sample", b"dummy", b"test", b"fake", b"mock", b"placeholder", b"changeme", b"xxxx")
 _RUN = re.compile(rb"[A-Za-z0-9+/_@.:\-]{12,}={0,2}")
 _NAME = b"|".join(n.replace(b"_", rb"[_\-]?") for n in CREDENTIAL_NAMES)
 _SCHEME = rb"(?:(?:bearer|basic)\s{1,3})?"
-_ASSIGN = rb"(?:(?:" + _NAME + rb")[\"']?\s{0,3}[=:]{1,3}>?\s{0,3}|bearer\s{1,3})"
+#: What may follow the word in a name: a plural, or a further word such as in secret_key, token_id, password_2.
+_NAME_END = rb"s?(?:[_\-]?(?:keys?|ids?|value|string|text|phrase|hash|base64|prod|dev|live|staging|[0-9]{1,4})){0,2}"
+_ASSIGN = (rb"(?:(?:(?:" + _NAME + rb")" + _NAME_END + rb"|(?<=[_\-])pass)[\"']?\s{0,3}[=:]{1,3}>?\s{0,3}|bearer\s{1,3})")
+#: A value without quotes ends at white space or a quote, before the next part of a query string, and at a comma or
+#: semicolon that ends it.
+_BARE = (rb"(?:[^\s\"'&;,]|&(?!\w[\w.\-]{0,40}=)|[;,](?![\s\"'}\])]|\w[\w.\-]{0,40}[=:]))")
 #: An assigned value, looked for in the text with A-Z lower-cased: to its closing quote, else to white space or a quote.
 _VALUE = re.compile(_ASSIGN + rb"(?:\"" + _SCHEME + rb"(?P<double>(?:[^\"\\\r\n]|\\.){6,}+)\""
                     rb"|'" + _SCHEME + rb"(?P<single>(?:[^'\\\r\n]|\\.){6,}+)'"
-                    rb"|[\"']?" + _SCHEME + rb"(?P<bare>[^\s\"']{6,}))")
+                    rb"|[\"']?" + _SCHEME + rb"(?P<bare>" + _BARE + rb"{6,}+))"
+                    # The password of a user in a url.
+                    rb"|://[^\s/:@\"']{0,64}:(?P<user>[^\s/@\"']{3,200})@")
 _NAME_BYTES = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.-")
 #: Public formats of issued keys.
 _ISSUED = re.compile(rb"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abp]-[A-Za-z0-9-]{10,}"
@@ -48,7 +55,8 @@ _ISSUED = re.compile(rb"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox
 _OPAQUE = re.compile(rb"[0-9a-fA-F]{16,}|[A-Za-z0-9+/_\-]{16,}={0,2}")
 _HARMLESS = re.compile(rb"\d{1,3}(?:\.\d{1,3}){3}(?::\d+)?|[^@]+@[^@]+\.[A-Za-z]+|\d[\d.:/_\-]*|\d{4}-\d\d-\d\d[T:0-9.Z]*"
                        rb"|(?:https?:)?//.*|[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
-_ASSIGNED = re.compile(rb"(?i:" + _ASSIGN + rb")[\"']?(?i:" + _SCHEME + rb")$")
+_USER = re.compile(rb"://[^\s/:@\"']{0,64}:$")
+_ASSIGNED = re.compile(rb"(?:(?i:" + _ASSIGN + rb")[\"']?(?i:" + _SCHEME + rb")|" + _USER.pattern[:-1] + rb")$")
 FEATURES = ("length", "digits", "upper", "lower", "signs", "transitions", "distinct", "entropy", "hex", "vowels",
             "dictionary", "assigned", "quoted", "credential_word", "sample_word", "path_sample", "path_depth", "dots")
 #: Bytes on each side of a candidate that count as neighbouring.
@@ -111,7 +119,7 @@ def _runs(text: bytes, lo: int, hi: int) -> Iterator[tuple[int, int]]:
 
 def candidates(text: bytes) -> Iterator[tuple[int, int]]:
     """Byte spans of the candidates of a text, in order and without overlap.  Assigned values come first; the name
-    they are assigned to, with its prefix, is no candidate."""
+    they are assigned to, with its prefix, is no candidate.  Values of fewer than 6 bytes (3 in a url) are none."""
     at = 0
     for m in _VALUE.finditer(text.lower()):
         name = m.start()
@@ -124,8 +132,11 @@ def candidates(text: bytes) -> Iterator[tuple[int, int]]:
 
 
 def known_formats(value: bytes, left: bytes) -> int:
-    """Label of a finding whose kind is plain: 1 for an issued key or an opaque value assigned to a credential
-    name, 0 for an address, a number, a date, an id in a public form; -1 where it takes judgement."""
+    """Label of a finding whose kind is plain: 1 for an issued key, an opaque value assigned to a credential name or the
+    password of a user in a url, 0 for an address, a number, a date, an id in a public form; -1 where it takes
+    judgement."""
+    if _USER.search(left):
+        return 1
     if _HARMLESS.fullmatch(value):
         return 0
     if _ISSUED.fullmatch(value) or _ASSIGNED.search(left) and _OPAQUE.fullmatch(value):
@@ -257,17 +268,10 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, path_col: s
 
 def redact(scanned: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``scanned`` with the spans of its secrets replaced by ``mark`` in the text; other texts unchanged."""
-    spans = F.transform(F.filter("findings", lambda f: f["secret"]), lambda f: F.struct(f["start"], f["end"]))
-
-    @F.arrow_udf(T.StringType())
-    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
-        for text, found in zip(texts.to_pylist(), spans.to_pylist()):
-            for s in reversed(found or []):
-                lo, hi = s.values()
-                text = text[:lo] + mark + text[hi:]
-            out.append(text)
-        return pa.array(out, pa.string())
-
-    return scanned.withColumn(text_col, F.when(F.exists("findings", lambda f: f["secret"]), cut(F.col(text_col), spans))
-                              .otherwise(F.col(text_col)))
+    text = F.col(text_col)
+    spans = F.filter("findings", lambda f: f["secret"])  # in text order, without overlap
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    cut = F.aggregate(spans, start, lambda acc, s: F.struct(
+        F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out"), s["end"].alias("at")),
+        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    return scanned.withColumn(text_col, F.when(F.size(spans) > 0, cut).otherwise(text))

@@ -53,6 +53,9 @@ def test_odd_documents(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     near = cp.drop_near_copies(spark, docs, SF)
     assert sorted((r["doc_id"] for r in near.collect()), key=str) == [1, 2, 3]
+    more = [(2, "a wholly different text of the same id", "en", "s", 15), (3, "quite another text", "de", "s", 18), (None, "words of no document", "en", "s", 9)]
+    near = cp.drop_near_copies(spark, docs.unionByName(spark.createDataFrame(more, docs.schema)).repartition(5), SF)
+    assert sorted(map(tuple, near.collect()), key=str) == [(1, "", "en", None, 0), rows[4], more[0], rows[6], more[2]]
     for name, stage in cp.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
         assert stage(spark, docs, SF).count() <= len(rows)

@@ -219,6 +219,29 @@ def test_assigned_values_are_whole_whatever_their_name_and_length(spark):
     assert [r["text"] for r in clean] == ['use token="[SECRET]" now', "MYSQL_ROOT_PASSWORD=[SECRET]"]
 
 
+REVIEWED = [  # a line and the credential in it
+    (b'SECRET_KEY = "k$9!abcQz7w%tt"', b"k$9!abcQz7w%tt"), (b"credentials: hunter2!xyz", b"hunter2!xyz"),
+    (b"DB_PASS=Sup3r!pw99 next", b"Sup3r!pw99"), (b'passphrase = "open the door 7"', b"open the door 7"),
+    (b"password=abc123x&next=/x", b"abc123x"), (b"password=Sup3r&pw!x end", b"Sup3r&pw!x"), (b"api_key_2: zz91kk02, then", b"zz91kk02"),
+    (b"client_secret_id=1234567890abcdef", b"1234567890abcdef"), (b"tokens: 'a1b2c3d4'", b"a1b2c3d4"),
+    (b"https://user:tok3nabcdef123@github.com/a/b", b"tok3nabcdef123"), (b"postgres://svc:S3cretPw9@db.example.com", b"S3cretPw9"),
+    (b"redis://:p4ss@cache/0", b"p4ss"), (b"tokenizer: bert", None), (b"pass: the salt please", None), (b"http://a.b/x?y=1", None),
+    (b"the passwords were changed today", None), (b"a secret: no one knows", None), (b"mailto:a@b.example", None)]
+
+
+def test_reviewed_lines():
+    """Every credential is a candidate as a whole, and the passwords in urls are labelled as such."""
+    for line, value in REVIEWED:
+        spans = [(a, line[a:b]) for a, b in candidates(line)]
+        assert value is None or value in [v for _, v in spans], line
+        if b"://" in line and value:
+            assert [known_formats(v, line[:a]) for a, v in spans if v == value] == [1]
+        if value is None:
+            assert all(known_formats(v, line[:a]) < 1 for a, v in spans), line
+    for text in (b"password=" * 100_000, b"password=" + b"a&b" * 200_000, b"://" * 200_000, b"://:" * 200_000):
+        assert len(list(candidates(text))) <= 1  # in linear time
+
+
 def test_forest_of_a_large_skewed_table_knows_both_classes(spark):
     """Few secrets among many harmless findings, and a third of all rows copies of the finding first by hash."""
     from pyspark.sql import functions as F
