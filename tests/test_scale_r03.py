@@ -29,3 +29,19 @@ def test_training_rows_use_the_cores(spark):
         assert train_f.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, -(-train_f.count() // 500))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+
+
+def test_rows_of_a_task_are_bounded(spark, tmp_path):
+    spark.range(1000).repartition(2).write.parquet(str(tmp_path / "t"))
+    scan = spark.read.parquet(str(tmp_path / "t"))
+    out = spread(scan, 10)
+    assert out.rdd.getNumPartitions() == 100 and out.count() == 1000 and out.distinct().count() == 1000
+
+
+@pytest.mark.parametrize("name", ["fit_vocabulary", "top_vocabulary", "vocabulary_info", "term_counts", "tfidf"])
+def test_vocabularies_are_fitted_on_bounded_tasks(spark, monkeypatch, name):
+    asked, real = [], catalog.spread
+    monkeypatch.setattr(catalog, "TASK_TEXTS", 5)
+    monkeypatch.setattr(catalog, "spread", lambda scan, rows=None: asked.append(rows) or real(scan, rows))
+    assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
+    assert 5 in asked
