@@ -45,3 +45,11 @@ def test_vocabularies_are_fitted_on_bounded_tasks(spark, monkeypatch, name):
     monkeypatch.setattr(catalog, "spread", lambda scan, rows=None: asked.append(rows) or real(scan, rows))
     assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
     assert 5 in asked
+
+
+def test_binary_terms_are_counted_once(spark):
+    docs = spark.createDataFrame([("good good film",), ("bad film",), ("",), (None,)], "t string")
+    stats = vc.term_stats(docs, "t", FeatureOptions(binary=True), ())
+    assert plan_of(stats).split("== Physical Plan ==")[1].count("array_distinct") == 1
+    got = {r.term: (r.df, r.cf) for r in stats.collect()}
+    assert got == {None: (4, 0), "good": (1, 1), "film": (2, 2), "bad": (1, 1), "good good": (1, 1), "good film": (1, 1), "bad film": (1, 1)}
