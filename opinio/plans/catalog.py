@@ -632,6 +632,8 @@ def q_stem_tokens(spark, sf_dir):
     """T9 applied: every cleaned document with its tokens stemmed through the stem table (join)."""
     from opinio.operators.lexicon import apply_dictionary, stem_dictionary, vocabulary
 
-    toks = _cleaned_tokens(spark, sf_dir)
+    path = scratch_path(spark, "tokens")  # read by the vocabulary and by the replacement
+    _cleaned_tokens(spark, sf_dir).write.parquet(path)
+    toks = spark.read.parquet(path)
     out = apply_dictionary(toks, "doc_id", "tokens", stem_dictionary(vocabulary(toks, "tokens")), "stems")
     return out.select("doc_id", F.array_join("stems", " ").alias("stemmed"))

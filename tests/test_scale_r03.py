@@ -53,3 +53,8 @@ def test_binary_terms_are_counted_once(spark):
     assert plan_of(stats).split("== Physical Plan ==")[1].count("array_distinct") == 1
     got = {r.term: (r.df, r.cf) for r in stats.collect()}
     assert got == {None: (4, 0), "good": (1, 1), "film": (2, 2), "bad": (1, 1), "good good": (1, 1), "good film": (1, 1), "bad film": (1, 1)}
+
+
+def test_stemmed_texts_are_cleaned_once(spark):
+    plan = plan_of(catalog.QUERIES["stem_tokens"](spark, SF_SMALL))
+    assert "regexp" not in plan.split("== Physical Plan ==")[1]
