@@ -31,6 +31,16 @@ def test_training_rows_use_the_cores(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
 
 
+def test_forests_read_few_partitions(spark, monkeypatch):
+    rows = [(i, float(i % 2), i % 5, Vectors.sparse(4, [i % 2, 2 + i % 2], [1.0, 0.5])) for i in range(60)]
+    df = spark.createDataFrame(rows, ["doc_id", "label", "fold", "features"]).repartition(6).persist()
+    seen, real = [], tr.GridSearch._forest
+    monkeypatch.setattr(tr.GridSearch, "_forest", lambda self, leaf, part: seen.append(part.rdd.getNumPartitions()) or real(self, leaf, part))
+    options = TrainOptions(models=("random_forest",), rf_trees=(2,), rf_depths=(2,), rf_min_split=(2,), rf_min_leaf=(1,))
+    assert [s.f1 for s in tr.GridSearch(options, df).search("random_forest")] == [1.0]
+    assert seen == [1] * 6
+
+
 def test_rows_of_a_task_are_bounded(spark, tmp_path):
     spark.range(1000).repartition(2).write.parquet(str(tmp_path / "t"))
     scan = spark.read.parquet(str(tmp_path / "t"))
