@@ -31,6 +31,15 @@ def test_training_rows_use_the_cores(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
 
 
+def test_blocks_hold_rows_once(spark):
+    rows = [(float(i % 2), i % 3, Vectors.dense([1.0 * i, 2.0, 3.0])) for i in range(9)]
+    block = lm.pack_blocks(spark.createDataFrame(rows, ["label", "fold", "features"]).coalesce(1), dense=True).first()
+    assert block.dense.shape == (9, 3) and not len(block.cols) and not len(block.values)
+    sparse = [(float(i % 2), i % 3, Vectors.sparse(3, [1], [2.0])) for i in range(9)]
+    block = lm.pack_blocks(spark.createDataFrame(sparse, ["label", "fold", "features"]).coalesce(1)).first()
+    assert block.cols.dtype == np.int32 and block.margins(np.ones((4, 2))).tolist() == [[3.0, 3.0]] * 9
+
+
 def test_forests_read_few_partitions(spark, monkeypatch):
     rows = [(i, float(i % 2), i % 5, Vectors.sparse(4, [i % 2, 2 + i % 2], [1.0, 0.5])) for i in range(60)]
     df = spark.createDataFrame(rows, ["doc_id", "label", "fold", "features"]).repartition(6).persist()
