@@ -77,3 +77,10 @@ def test_binary_terms_are_counted_once(spark):
 def test_stemmed_texts_are_cleaned_once(spark):
     plan = plan_of(catalog.QUERIES["stem_tokens"](spark, SF_SMALL))
     assert "regexp" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_scored_texts_are_dealt_out(spark):
+    out = catalog.QUERIES["score_summary"](spark, SF_SMALL)
+    n = out.head()
+    assert n["n_samples"] == n["positives"] + n["negatives"] > 0
+    assert "RoundRobinPartitioning" in plan_of(out)
