@@ -71,11 +71,13 @@ TASK_TEXTS = 10_000
 
 
 def spread(scan, rows_per_task: int | None = None):
-    """Deal out a plain table scan that has fewer partitions than the session has cores (one file with one row
-    group), so per-row text work uses all of them.  Only for scans: their partitions are known from the file
-    listing, no job runs.  A table of many files passes through without a shuffle, unless ``rows_per_task`` asks for
-    more partitions than it has (the rows are counted from the files' footers)."""
-    target = scan.sparkSession.sparkContext.defaultParallelism
+    """Deal out a plain table scan that has too few files for the session's cores, so per-row text work uses all of
+    them.  A scan's partitions say nothing of that: a large file is cut into as many splits as there are cores, and one
+    split reads a whole row group, the others none.  Only for scans: their files are known from the listing, no job
+    runs.  A table of two files a core passes through without a shuffle, unless ``rows_per_task`` asks for more
+    partitions than it has (the rows are counted from the files' footers)."""
+    cores = target = scan.sparkSession.sparkContext.defaultParallelism
     if rows_per_task:
         target = max(target, -(-scan.count() // rows_per_task))
-    return scan.repartition(target) if scan.rdd.getNumPartitions() < target else scan
+    whole = len(scan.inputFiles()) >= 2 * cores and scan.rdd.getNumPartitions() >= target
+    return scan if whole else scan.repartition(target)

@@ -84,3 +84,22 @@ def test_scored_texts_are_dealt_out(spark):
     n = out.head()
     assert n["n_samples"] == n["positives"] + n["negatives"] > 0
     assert "RoundRobinPartitioning" in plan_of(out)
+
+
+def test_one_row_group_is_dealt_out(spark, tmp_path):
+    """A file of one row group is cut into as many splits as there are cores; one of them holds all rows."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        scan = spark.read.parquet(str(tmp_path / "t"))
+        cores = spark.sparkContext.defaultParallelism
+        assert scan.rdd.getNumPartitions() >= cores and scan.select(F.spark_partition_id()).distinct().count() == 1
+        out = spread(scan)
+        held = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(held) == cores and sum(held) == 400 and max(held) <= 100
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
