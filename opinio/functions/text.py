@@ -56,6 +56,10 @@ TOKEN_PATTERN = r"(?<![\p{L}\p{N}_])[a-zA-Z]+(?![\p{L}\p{N}_])"
 # Vectoriser tokens: word-runs of two or more word characters.
 VECTOR_TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 # ---------------------------------------------------------------------------------------------
+# The patterns above in cheaper forms.  Tags and entities in one pass: neither can begin or end inside a match of the
+# other, as an entity holds letters only and a tag goes first.
+MARKUP_PATTERN = rf"<[^\n>]*>|{ENTITY_PATTERN}"
+PUNCTUATION_PATTERN = r"[!-/:-@\[-`{-~]+"
 
 
 def _col(c) -> Column:
@@ -64,8 +68,7 @@ def _col(c) -> Column:
 
 def strip_html(c) -> Column:
     """T1 + T2: tags and named entities become a space."""
-    c = F.regexp_replace(_col(c), TAG_PATTERN, " ")
-    return F.regexp_replace(c, ENTITY_PATTERN, " ")
+    return F.regexp_replace(_col(c), MARKUP_PATTERN, " ")
 
 
 def strip_urls(c) -> Column:
@@ -75,7 +78,7 @@ def strip_urls(c) -> Column:
 
 def strip_punctuation(c) -> Column:
     """T5: delete the 32 ASCII punctuation characters."""
-    return F.translate(_col(c), PUNCTUATION, "")
+    return F.regexp_replace(_col(c), PUNCTUATION_PATTERN, "")
 
 
 def normalize_whitespace(c) -> Column:
@@ -96,16 +99,16 @@ def tokenize_whitespace(c) -> Column:
 
 
 def filter_tokens(tokens, min_len: int = 2, max_len: int = 50,
-                  stop_words: tuple[str, ...] | None = STOP_WORDS) -> Column:
+                  stop_words: tuple[str, ...] | None = STOP_WORDS, lowered: bool = False) -> Column:
     """T10 + T11 in one pass: keep tokens of length min..max that are not stop words.
 
-    Stop words are matched on the lower-cased token.  A plain ``filter`` keeps duplicates and order,
+    Stop words are matched on the lower-cased token (``lowered`` tokens are that already).  A plain ``filter`` keeps duplicates and order,
     unlike ``array_except``.
     """
     def keep(t):
         cond = (F.length(t) >= min_len) & (F.length(t) <= max_len)
         if stop_words:
-            cond = cond & ~F.lower(t).isin(list(stop_words))
+            cond = cond & ~(t if lowered else F.lower(t)).isin(list(stop_words))
         return cond
 
     return F.filter(_col(tokens), keep)
@@ -117,11 +120,23 @@ def remove_stopwords(tokens, stop_words: tuple[str, ...] = STOP_WORDS) -> Column
 
 
 def clean_tokens(c, options: CleanOptions = CleanOptions()) -> Column:
-    """T12 as tokens: the whole cleaner, ARRAY<STRING>.  Null text cleans to an empty array."""
-    text = F.coalesce(_col(c).cast("string"), F.lit(""))
+    """T12 as tokens: the whole cleaner, ARRAY<STRING>.  Null text cleans to an empty array.
+
+    Texts of a named column are searched for markup and URLs only if they hold the characters these begin with; an
+    expression would be evaluated again for each look."""
+    text = raw = F.coalesce(_col(c).cast("string"), F.lit(""))
+
+    def where_any(marks, strip, text):
+        if not isinstance(c, str):
+            return strip(text)
+        has = F.contains(raw, F.lit(marks[0]))
+        for mark in marks[1:]:
+            has = has | F.contains(raw, F.lit(mark))
+        return F.when(has, strip(text)).otherwise(text)
+
     if options.remove_html:
-        text = strip_html(text)
-    text = strip_urls(text)
+        text = where_any("<&", strip_html, text)
+    text = where_any(["http"], strip_urls, text)
     if options.lowercase:
         text = F.lower(text)
     if options.remove_punctuation:
@@ -129,7 +144,7 @@ def clean_tokens(c, options: CleanOptions = CleanOptions()) -> Column:
     # Whitespace collapsing cannot change the tokens extracted next, so it is skipped here.
     tokens = tokenize(text)
     return filter_tokens(tokens, options.min_word_length, options.max_word_length,
-                         STOP_WORDS if options.remove_stopwords else None)
+                         STOP_WORDS if options.remove_stopwords else None, options.lowercase)
 
 
 def clean_text(c, options: CleanOptions = CleanOptions()) -> Column:
@@ -162,17 +177,20 @@ def ngrams(tokens: str, ngram_range: tuple[int, int] = (1, 2)) -> Column:
             continue
         count = F.size(t) - (n - 1)
         # A one-argument lambda: ``transform`` passes (element, index) to two-argument ones.
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), _gram_at(t, n))
+        if n == 2:  # each token with the next
+            grams = F.zip_with(F.slice(t, F.lit(1), F.greatest(count, F.lit(0))), F.slice(t, 2, F.greatest(count, F.lit(0))), _pair)
+        else:
+            grams = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), _gram_at(t, n))
         parts.append(F.when(count >= 1, grams).otherwise(F.array().cast("array<string>")))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def _pair(a: Column, b: Column) -> Column:
+    return F.coalesce(F.concat(a, F.lit(" "), b), F.concat_ws(" ", a, b))  # the latter leaves out nulls
+
+
 def _gram_at(tokens: Column, n: int):
-    def gram(i: Column) -> Column:
-        if n == 2:
-            return F.concat_ws(" ", F.element_at(tokens, i), F.element_at(tokens, i + 1))
-        return F.array_join(F.slice(tokens, i, n), " ")
-    return gram
+    return lambda i: F.array_join(F.slice(tokens, i, n), " ")
 
 
 def preview(c, width: int = 100) -> Column:

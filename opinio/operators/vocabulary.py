@@ -43,7 +43,7 @@ def with_feature_terms(df: DataFrame, text_col: str, options: FeatureOptions, st
     tokens = vector_tokens(F.col(text_col), options.lowercase)
     if stop_words:
         stops = list(stop_words)
-        tokens = F.filter(tokens, lambda t: ~F.lower(t).isin(stops))
+        tokens = F.filter(tokens, lambda t: ~(t if options.lowercase else F.lower(t)).isin(stops))
     staged = df.withColumn("_tok", tokens)
     return staged.withColumn(out_col, ngrams("_tok", tuple(options.ngram_range))).drop("_tok")
 

@@ -1,5 +1,9 @@
 """How the work of the model and vocabulary queries is dealt out."""
 
+import random
+import re
+import string
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -11,6 +15,7 @@ from opinio.options import FeatureOptions, TrainOptions
 from opinio.plans import catalog, ml_queries  # noqa: F401
 from opinio.plans import linear_many as lm
 from opinio.plans import train as tr
+from opinio.functions import text as tx
 from opinio.session import spread
 
 
@@ -103,3 +108,33 @@ def test_one_row_group_is_dealt_out(spark, tmp_path):
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
+
+
+def plain_tokens(text: str | None) -> list[str]:
+    """The cleaner step by step."""
+    text = re.sub(r"<[^\n]*?>", " ", text or "")
+    text = re.sub(r"&[a-zA-Z]+;", " ", text)
+    text = re.sub(r"https?://[!$-_a-z]+", " ", text).lower()
+    text = text.translate(str.maketrans("", "", string.punctuation))
+    words = re.findall(r"(?<!\w)[a-zA-Z]+(?!\w)", text)
+    return [w for w in words if 2 <= len(w) <= 50 and w not in tx.STOP_WORDS]
+
+
+def test_cheaper_cleaning_gives_the_same_tokens(spark):
+    odd = ["<", ">", "&", ";", "&amp;", "<br />", "\n", "\r", " ", "http://", "https://", "http", "a.b/c", "Don't", "THE", "film", "\u00e9t\u00e9", "x9",
+           "\u212aelvin", "\u0130x", "\u201cquoted\u201d", "_", "&l<b>t;", "b>", "\U0001f600", "[x]", "\\", "`~|{}", "\u2028", "$1"]
+    pick = random.Random(7)
+    rows = [("".join(pick.choices(odd, k=pick.randrange(25))),) for _ in range(3000)] + [(None,), ("",), ("a" * 51,)]
+    df = spark.createDataFrame(rows, "t string")
+    cleaned = df.select("t", tx.clean_tokens("t").alias("named"), tx.clean_tokens(F.concat("t", F.lit(""))).alias("made"))
+    for r in cleaned.collect():
+        assert r.named == r.made == plain_tokens(r.t), r.t
+    plan = plan_of(df.select(tx.clean_tokens("t"))).split("== Physical Plan ==")[1]
+    assert "translate" not in plan and "contains(" in plan.lower()
+
+
+def test_pairs_are_made_without_looking_up_positions(spark):
+    rows = [(["a", "b", "c"],), (["a"],), ([],), (None,), (["a", None, "b"],)]
+    out = spark.createDataFrame(rows, "t array<string>").select(tx.ngrams("t", (2, 2)).alias("g"))
+    assert [r.g for r in out.collect()] == [["a b", "b c"], [], [], [], ["a", "b"]]
+    assert "element_at" not in plan_of(out)
