@@ -37,7 +37,7 @@ from opinio.plans.forest import grid_counts, read_trees, rewrite
 from opinio.plans.kernel import NystroemFeatures, candidate_rows, resolve_gamma, unexplained
 from opinio.plans.linear_many import LinearFit, fit_many, grid_problems, held_out_counts, held_out_margins, pack_blocks
 from opinio.plans.runs import log_run, save_eval_results, save_model
-from opinio.session import checkpoint_root
+from opinio.session import TASK_TEXTS, checkpoint_root
 
 MAX_RF_DEPTH = 30  # Spark's limit stands in for "no limit"
 #: A forest's task sends the statistics of every open node, however few of its rows are in it, so forests read fewer and
@@ -323,7 +323,10 @@ def prepare(spark: SparkSession, reviews: DataFrame, options: TrainOptions, id_c
     splits = splits.checkpoint(eager=True)
     counts = {r["split"]: r["count"] for r in splits.groupBy("split").count().collect()}
     train = splits.where(F.col("split") == "train")
-    fmodel = fit_feature_pipeline(train, id_col, text_col, options.features, options.clean, processed_col=processed)
+    # Terms are counted inside tasks of a bounded number of texts, so a task's memory does not grow with the table.
+    texts, tasks = train.select(processed), -(-counts.get("train", 0) // TASK_TEXTS)
+    texts = texts.repartition(tasks) if texts.rdd.getNumPartitions() < tasks else texts
+    fmodel = fit_feature_pipeline(texts, id_col, text_col, options.features, options.clean, processed_col=processed)
     keep = [id_col, "label", "split"]
     vectorise = PipelineModel(stages=list(fmodel.stages[1:]))  # every stage after the cleaner
     feats = vectorise.transform(splits).select(*keep, "features")

@@ -138,3 +138,18 @@ def test_pairs_are_made_without_looking_up_positions(spark):
     out = spark.createDataFrame(rows, "t array<string>").select(tx.ngrams("t", (2, 2)).alias("g"))
     assert [r.g for r in out.collect()] == [["a b", "b c"], [], [], [], ["a", "b"]]
     assert "element_at" not in plan_of(out)
+
+
+def test_training_vocabulary_is_fitted_on_bounded_tasks(spark, monkeypatch):
+    rows = [(i, f"{'good fine' if i % 2 else 'bad dull'} film number{i % 7} " * 3, i % 2) for i in range(400)]
+    reviews = spark.createDataFrame(rows, "doc_id long, review string, sentiment int").coalesce(2)
+    held, real = [], tr.fit_feature_pipeline
+
+    def fit(texts, *args, **kwargs):
+        held.extend(r["count"] for r in texts.groupBy(F.spark_partition_id()).count().collect())
+        return real(texts, *args, **kwargs)
+
+    monkeypatch.setattr(tr, "TASK_TEXTS", 10, raising=False)
+    monkeypatch.setattr(tr, "fit_feature_pipeline", fit)
+    _, _, train_f, _ = tr.prepare(spark, reviews, TrainOptions(features=FeatureOptions(max_features=50)))
+    assert sum(held) == train_f.count() and max(held) <= 20
